@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash
+import public_tokenizers
+
+from . import simhash, tokenbin, tokencount
 from .common import table
 
 
@@ -14,8 +16,16 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenbin.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_simhash": op1_simhash}
+    return {"op1_simhash": op1_simhash, "op2_token_ids": op2_token_ids, "op4_token_counts": op4_token_counts}
 
 
 def oracle_sql() -> dict[str, str]:
