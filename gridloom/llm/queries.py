@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from . import simhash, tokenbin, tokencount
+from . import langid, simhash, tokenbin, tokencount, urlfilter
 from .common import table
 
 
@@ -20,12 +20,20 @@ def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenbin.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
 
 
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(table(spark, sf_dir, "pages"), urlfilter.outcomes_of(table(spark, sf_dir, "labels")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_simhash": op1_simhash, "op2_token_ids": op2_token_ids, "op4_token_counts": op4_token_counts}
+    return {"op1_simhash": op1_simhash, "op2_token_ids": op2_token_ids, "op3_language_id": op3_language_id, "op4_token_counts": op4_token_counts, "op8_url_filter": op8_url_filter}
 
 
 def oracle_sql() -> dict[str, str]:
