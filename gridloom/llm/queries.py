@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from . import langid, simhash, tokenbin, tokencount, urlfilter
+from . import langid, licenses, packing, simhash, tokenbin, tokencount, urlfilter
 from .common import table
 
 
@@ -32,8 +32,16 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"), urlfilter.outcomes_of(table(spark, sf_dir, "labels")))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.summary(licenses.scan(table(spark, sf_dir, "documents")))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_simhash": op1_simhash, "op2_token_ids": op2_token_ids, "op3_language_id": op3_language_id, "op4_token_counts": op4_token_counts, "op8_url_filter": op8_url_filter}
+    return {"op1_simhash": op1_simhash, "op2_token_ids": op2_token_ids, "op3_language_id": op3_language_id, "op4_token_counts": op4_token_counts, "op8_url_filter": op8_url_filter, "op9_license_scan": op9_license_scan, "op10_packing": op10_packing}
 
 
 def oracle_sql() -> dict[str, str]:
