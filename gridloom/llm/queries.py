@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from . import langid, licenses, packing, simhash, tokenbin, tokencount, urlfilter
+from . import ann, embdedup, langid, licenses, mixing, packing, simhash, tokenbin, tokencount, urlfilter
 from .common import table
 
 
@@ -28,8 +28,21 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), mixing.domains(table(spark, sf_dir, "labels"))).drop("uid")
+
+
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embdedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.search(ann.index(vectors), vectors.where("vec_id % 20 = 0"), k=20)
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return urlfilter.judge(table(spark, sf_dir, "pages"), urlfilter.outcomes_of(table(spark, sf_dir, "labels")))
+    return urlfilter.judge(table(spark, sf_dir, "pages"), urlfilter.outcomes_of(table(spark, sf_dir, "labels"))).drop("bad_bound")
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,7 +54,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_simhash": op1_simhash, "op2_token_ids": op2_token_ids, "op3_language_id": op3_language_id, "op4_token_counts": op4_token_counts, "op8_url_filter": op8_url_filter, "op9_license_scan": op9_license_scan, "op10_packing": op10_packing}
+    return {"op1_simhash": op1_simhash, "op2_token_ids": op2_token_ids, "op3_language_id": op3_language_id, "op4_token_counts": op4_token_counts, "op5_mixing": op5_mixing, "op6_embedding_dedup": op6_embedding_dedup, "op7_neighbours": op7_neighbours, "op8_url_filter": op8_url_filter, "op9_license_scan": op9_license_scan, "op10_packing": op10_packing}
 
 
 def oracle_sql() -> dict[str, str]:
