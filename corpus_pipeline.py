@@ -1,25 +1,50 @@
-"""The corpus pipeline: stages that each write a table, which the next reads as its documents."""
+"""The corpus pipeline: stages that each write a table, which the next reads as its documents.
+
+Language ID drops documents whose language cannot be told, near-dedup leaves one of each group,
+mixing takes documents as often as their rate says, and packing cuts what is left into sequences.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import simhash
+from gridloom.llm import langid, mixing, packing, simhash
 from gridloom.llm.common import table, written
 
-#: No stage from the classifier on can be put in SQL; the tests hold them against brute force.
+#: The first stage is a trained classifier, which SQL cannot express; the tests hold every stage
+#: against a plain version.
 ORACLE_SQL = None
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go: no letters, or no language that is likelier than all others."""
+    return langid.keep_identified(docs)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays, that with the smallest id."""
     return simhash.keep_one(docs)
 
 
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as their rate says: clean ones once or more, some poor and toxic ones not at all."""
+    docs = docs.drop("__id", "__n", "__k", "__r")
+    return mixing.resample(docs, mixing.mix(docs, mixing.domains(table(spark, sf_dir, "labels"))))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in sequences of 2048 ids; a repeated document has pieces for each time."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language_id", language_id),
     ("near_dedup", near_dedup),
+    ("mix", mix),
+    ("pack", pack),
 ]
 
 

@@ -100,31 +100,22 @@ def _join(threshold: float):
                 order = np.argsort(hc)
                 hc, hu = hc[order], hu[order]
                 links, a, b = np.zeros(len(hc), np.int64), [], []
-                root = {}
+                group = np.arange(len(vc))  # of each visitor: the first of those joined with it so far
                 for at in range(0, len(hc), 512):
                     close = hu[at : at + 512] @ vu.T >= threshold
                     close &= hc[at : at + 512, None] != vc[None, :]
                     links[at : at + 512] = close @ members
-                    for i in np.nonzero(close.any(1))[0]:  # a forest: what a node reaches is joined once
-                        me, others = int(hc[at + i]), vc[close[i]].tolist()
-                        for other in others:
-                            x, y = _find(root, me), _find(root, other)
-                            if x != y:
-                                root[max(x, y)] = min(x, y)
-                                a.append(me)
-                                b.append(other)
+                    for i in np.nonzero(close.any(1))[0]:  # a link to each group, which then are one
+                        met = np.unique(group[close[i]])
+                        a += [int(hc[at + i])] * len(met)
+                        b += vc[met].tolist()
+                        if len(met) > 1:
+                            group[np.isin(group, met)] = met[0]
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([hc, np.array(a, np.int64)])), pa.array([None] * len(hc) + b, pa.int64()), pa.array(np.concatenate([links, np.zeros(len(a), np.int64)]))], ["a", "b", "links"])
 
     return run
 
 
-def _find(root: dict, x: int) -> int:
-    while (up := root.get(x, x)) != x:
-        root[x] = root.get(up, up)
-        x = up
-    return x
-
-
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE, id_col: str = "vec_id", vector_col: str = "embedding", cell: int = CELL, block: int = BLOCK) -> DataFrame:
     """``(vec_id, n_links, component_id, kept)`` of every row.
 

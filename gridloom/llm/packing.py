@@ -35,7 +35,7 @@ def knapsack(values, capacity: int) -> tuple[float, list[int]]:
 
     best, pick = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int64)
     for c in range(1, capacity + 1):
-        total = values[:c] + best[c - 1 :: -1][:c]
+        total = values[:c] + best[c - 1 :: -1][: min(c, len(values))]
         at = int(total.argmax())
         best[c], pick[c] = (total[at], at + 1) if total[at] > best[c - 1] else (best[c - 1], 0)
     counts, c = [0] * len(values), capacity
