@@ -169,7 +169,7 @@ def test_token_counts_and_cache(spark, monkeypatch):
 def test_mixing_meets_targets(spark):
     topics = {"clean": "stone river garden", "poor": "BUY NOW CHEAP", "toxic": "idiot clown fool"}
     rows = [(k, " ".join(rng.choice(topics[d].split() + ["the", "of"]) for _ in range(rng.randint(5, 60))), None) for k in range(300) for d in [("clean", "clean", "poor", "toxic")[k % 4]]]
-    labels = spark.createDataFrame([(k, int(k % 4 != 2), int(k % 4 == 3)) for k in range(0, 300, 2)] + [(k, int(k % 4 != 2), int(k % 4 == 3)) for k in range(1, 300, 8)] + [(3, 1, 1), (None, 1, 1), (9, None, None)], "doc_id long, quality int, toxic int")
+    labels = spark.createDataFrame([(k, int(k % 4 != 2), int(k % 4 == 3)) for k in range(0, 300, 2)] + [(k, int(k % 4 != 2), int(k % 4 == 3)) for k in range(3, 300, 8)] + [(3, 1, 1), (None, 1, 1), (9, None, None)], "doc_id long, quality int, toxic int")
     frame = docs(spark, [*rows, (900, None, None), (901, "", None), (None, "stone", None), (5, rows[5][1], None)])
     mixed = mixing.mix(frame, mixing.domains(labels)).collect()
     assert len(mixed) == len(rows) + 4 and all(r.rate >= 0 for r in mixed)
