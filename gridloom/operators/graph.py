@@ -1,24 +1,16 @@
 """Graph operators over ``edges(parent, child)``: the parent depends on the child.
 
-Reachability and layering are loops of joins; each round is cut by a written table when there are
-many, so depth does not grow the plan, and a round only handles what the last one found.
+Reachability and layering are loops of joins.  What a round finds is written as a table of its own,
+so the next round's plan has the size of the first's, however deep the graph is, and no round is
+lost with an executor.  The nodes found so far are the tables of all rounds, read at once.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ROUNDS = 100_000
-CUT = 8
-
-
-def _cut(df: DataFrame, round_: int) -> DataFrame:
-    """Checkpoint in the shared folder every few rounds; keep the others on the executors' disks, rebuilt when lost."""
-    if round_ % CUT == 0 and df.sparkSession.sparkContext.getCheckpointDir():
-        return df.checkpoint()
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+from ..plans import shared
 
 
 def closure(edges: DataFrame, seeds: DataFrame, downstream: bool = True) -> DataFrame:
@@ -27,15 +19,15 @@ def closure(edges: DataFrame, seeds: DataFrame, downstream: bool = True) -> Data
     Cycles end by themselves: a node is followed once.
     """
     a, b = ("child", "parent") if downstream else ("parent", "child")
-    links = edges.select(F.col(a).alias("node"), F.col(b).alias("next")).where("node IS NOT NULL AND next IS NOT NULL").distinct()
-    found = front = seeds.select(F.col(seeds.columns[0]).alias("node")).where("node IS NOT NULL").distinct()
-    for k in range(1, ROUNDS):
+    read = edges.sparkSession.read
+    links = edges.select(F.col(a).alias("node"), F.col(b).alias("next")).where("node IS NOT NULL AND next IS NOT NULL")
+    start = seeds.select(F.col(seeds.columns[0]).alias("node")).where("node IS NOT NULL").distinct()
+    paths = [shared.write(start, "front")]
+    while not (front := read.schema(start.schema).parquet(paths[-1])).isEmpty():
+        found = read.schema(start.schema).parquet(*paths)
         new = front.join(links, "node").select(F.col("next").alias("node")).distinct().join(found, "node", "left_anti")
-        front = _cut(new, k)
-        if front.isEmpty():
-            break
-        found = _cut(found.unionByName(front), k)
-    return found
+        paths.append(shared.write(new, "front"))
+    return read.schema(start.schema).parquet(*paths)
 
 
 def layers(nodes: DataFrame, edges: DataFrame) -> DataFrame | None:
@@ -43,23 +35,21 @@ def layers(nodes: DataFrame, edges: DataFrame) -> DataFrame | None:
 
     Nodes are peeled off once all they depend on are: a round's nodes have its number.
     """
-    left = nodes.select(F.col(nodes.columns[0]).alias("node")).distinct()
-    links = edges.select("parent", "child").where("parent <> child OR parent IS NULL").distinct()
-    if not edges.where("parent = child").isEmpty():
-        return None
-    out = None
-    for k in range(ROUNDS):
-        ready = left.join(links, left["node"] == links["parent"], "left_anti")
-        ready = _cut(ready, k + 1)
-        if ready.isEmpty():
-            break
-        done = ready.withColumn("layer", F.lit(k))
-        out = done if out is None else out.unionByName(done)
-        left = _cut(left.join(ready, "node", "left_anti"), k + 1)
-        links = _cut(links.join(ready, links["child"] == ready["node"], "left_anti"), k + 1)
-        if left.isEmpty():
-            return out
-    return out if left.isEmpty() else None
+    read = edges.sparkSession.read
+    every = nodes.select(F.col(nodes.columns[0]).alias("node")).distinct()
+    links = edges.select("parent", "child").join(every.withColumnRenamed("node", "child"), "child", "left_semi")
+    total, done, paths = every.count(), 0, []
+    schema = every.withColumn("layer", F.lit(0)).schema
+    while done < total:
+        found = read.schema(schema).parquet(*paths).select("node") if paths else every.limit(0)
+        waiting = links.join(found.withColumnRenamed("node", "child"), "child", "left_anti").select(F.col("parent").alias("node"))
+        ready = every.join(found, "node", "left_anti").join(waiting, "node", "left_anti").withColumn("layer", F.lit(len(paths)))
+        paths.append(shared.write(ready, "layer"))
+        n = read.schema(schema).parquet(paths[-1]).count()
+        if not n:
+            return None
+        done += n
+    return read.schema(schema).parquet(*paths) if paths else every.withColumn("layer", F.lit(0))
 
 
 def roles(nodes: DataFrame, targets: DataFrame, outputs: DataFrame, inputs: DataFrame, constants: DataFrame) -> DataFrame:

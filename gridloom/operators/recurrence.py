@@ -63,4 +63,4 @@ def blocked_path(rows: DataFrame, key: str, order: list[str], r: str, g: str, p:
     before = Window.partitionBy(key).orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     maps = F.array_sort(F.collect_list(F.struct("b", "map")).over(before))
     begun = cut.withColumn("from", F.aggregate(maps, F.col("d0"), lambda d, m: d * m["map"]["a"] + m["map"]["c"]))
-    return begun.select(key, F.posexplode(path(F.col("from"), F.col("s"))).alias("k", "state"), "b").select(key, (F.col("b") * block + F.col("k") + 1).alias("n"), "state")
+    return begun.select(key, F.posexplode(path(F.col("from"), F.col("s"))).alias("__k", "state"), "b").select(key, (F.col("b") * block + F.col("__k") + 1).alias("n"), "state")

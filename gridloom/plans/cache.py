@@ -79,7 +79,8 @@ class Cache:
 
 def record(spark: SparkSession, path: str, stage: str, fingerprints: dict[str, str]) -> None:
     """Append a stage's fingerprints to the manifest."""
-    rows = [(stage, label, value, time.time()) for label, value in sorted(fingerprints.items())]
+    now = time.time()
+    rows = [(stage, label, value, now) for label, value in sorted(fingerprints.items())]
     spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("append").parquet(path)
 
 

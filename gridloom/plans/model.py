@@ -17,45 +17,43 @@ PERIODS = 5
 OUTPUTS = ("baseline", "shocked", "delta")
 
 
-def _array(col: str, countries: int = PERIODS) -> Column:
-    """An input strip as values; missing cells are blank."""
-    return F.array(*(values.value(F.get(F.col(col), F.lit(k))) for k in range(countries)))
-
-
-def _path(start: Column, interest: str, growth: str, balance: str) -> Column:
-    """States after each period, as values."""
-    hundred, one = values.value(100.0), values.value(1.0)
+def _path(start: str, interest: str, growth: str, balance: str, error: Column) -> Column:
+    """States after each period, as values.  A step is written with plain numbers and one error, each
+    named once: expressions of whole values would repeat their parts at every level."""
     strips = F.arrays_zip(F.col(interest).alias("r"), F.col(growth).alias("g"), F.col(balance).alias("p"))
+    first = F.array(F.struct(F.col(f"{start}.num").alias("num"), F.coalesce(F.col(f"{start}.err"), error).alias("err")))
 
     def fold(acc: Column, z: Column) -> Column:
-        factor = lambda x: values.add(one, values.div(x, hundred))
-        now = values.sub(values.div(values.mul(F.element_at(acc, -1), factor(z["r"])), factor(z["g"])), z["p"])
-        return F.concat(acc, F.array(now))
+        last = F.element_at(acc, -1)
+        over = F.try_divide(last["num"] * (1 + z["r"] / 100), 1 + z["g"] / 100)
+        return F.concat(acc, F.array(F.struct((over - z["p"]).alias("num"), F.coalesce(last["err"], F.when(1 + z["g"] / 100 == 0, "#DIV/0!")).alias("err"))))
 
-    return F.slice(F.aggregate(strips, F.array(start), fold), 2, PERIODS)
+    states = F.slice(F.aggregate(strips, first, fold), 2, PERIODS)
+    return F.transform(states, lambda v: F.struct(F.when(v["err"].isNull(), v["num"]).alias("num"), v["err"].alias("err")))
 
 
 def evaluate(scenarios: DataFrame, countries: dict[str, float] | None = None) -> DataFrame:
     """``scenarios`` with every series of the model: inputs resolved, shocked inputs, three outputs.
 
-    Unknown countries are ``#N/A``, a shock type outside 1 to 3 is ``#VALUE!``, growth of -100 is
-    ``#DIV/0!`` from its period on, blanks are zero.
+    Outputs are arrays of ``struct<num, err>``.  Unknown countries are ``#N/A``, a shock type
+    outside 1 to 3 is ``#VALUE!``, growth of -100 is ``#DIV/0!`` from its period on, blanks are zero.
     """
     countries = countries or COUNTRIES
     names, debts = F.array(*(F.lit(c) for c in countries)), F.array(*(F.lit(float(d)) for d in countries.values()))
     place = values.match(F.col("country_name"), names)
-    kind = values.value(F.col("shock_type"))
+    kind = F.floor(F.coalesce("shock_type", F.lit(0.0))).cast("int")
+    numbers = lambda c: F.transform(F.sequence(F.lit(0), F.lit(PERIODS - 1)), lambda k: F.coalesce(F.get(F.col(c), k), F.lit(0.0)))
     found = scenarios.withColumns({
         "initial_debt": values.index(debts, place),
-        "shock_magnitude": values.offset(F.col("shock_table"), values.sub(kind, values.value(1.0))),
+        "shock_magnitude": F.coalesce(F.get(F.col("shock_table"), kind - 1), F.lit(0.0)),
         "shock_active": F.transform(F.sequence(F.lit(1), F.lit(PERIODS)), lambda t: F.when(t >= F.coalesce(F.col("shock_year"), F.lit(0.0)), 1.0).otherwise(0.0)),
-        "g0": _array("growth"), "r0": _array("interest"), "p0": _array("balance"),
+        "g0": numbers("growth"), "r0": numbers("interest"), "p0": numbers("balance"),
     })
-    zero = values.value(0.0)
-    shifted = lambda base, k: F.transform(F.arrays_zip(F.col(base).alias("v"), F.col("shock_active").alias("on")), lambda z: values.add(z["v"], values.mul(values.choose(kind, *(F.col("shock_magnitude") if j == k else zero for j in range(3))), values.value(z["on"]))))
-    found = found.withColumns({"g1": shifted("g0", 0), "r1": shifted("r0", 1), "p1": shifted("p0", 2)})
-    found = found.withColumns({"baseline": _path(F.col("initial_debt"), "r0", "g0", "p0"), "shocked": _path(F.col("initial_debt"), "r1", "g1", "p1")})
-    return found.withColumn("delta", F.zip_with("shocked", "baseline", values.sub))
+    shifted = lambda base, k: F.zip_with(base, "shock_active", lambda v, on: v + F.when(kind == k, F.col("shock_magnitude")).otherwise(0.0) * on)
+    found = found.withColumns({"g1": shifted("g0", 1), "r1": shifted("r0", 2), "p1": shifted("p0", 3)})
+    found = found.withColumns({"baseline": _path("initial_debt", "r0", "g0", "p0", F.lit(None).cast("string")), "shocked": _path("initial_debt", "r1", "g1", "p1", F.when(~kind.between(1, 3), "#VALUE!"))})
+    gap = lambda s, b: F.struct((s["num"] - b["num"]).alias("num"), F.coalesce(s["err"], b["err"]).alias("err"))
+    return found.withColumn("delta", F.zip_with("shocked", "baseline", gap))
 
 
 def long(evaluated: DataFrame) -> DataFrame:

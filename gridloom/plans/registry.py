@@ -439,10 +439,10 @@ def name_usage(spark, sf_dir):
 
 @_query("SELECT l_orderkey AS orderkey, l_linenumber AS linenumber, l_quantity AS quantity FROM lineitem WHERE NOT (l_quantity >= 5 AND l_quantity <= 45 AND l_quantity = floor(l_quantity)) OR NOT (l_discount <= 0.08::DOUBLE) OR l_returnflag NOT IN ('A', 'N')")
 def domain_violations(spark, sf_dir):
-    none, l = F.lit(None), _t(spark, sf_dir, "lineitem")  # noqa: E741
-    q = bindings.within(F.lit("between"), F.lit(5.0), F.lit(45.0), none, F.col("l_quantity"), none)
-    d = bindings.within(F.lit("real_between"), none.cast("double"), F.lit(0.08), none, F.col("l_discount"), none)
-    e = bindings.within(F.lit("enum"), none, none, F.array(F.lit("A"), F.lit("N")), none, F.col("l_returnflag"))
+    none, l = F.lit(None).cast("array<string>"), _t(spark, sf_dir, "lineitem")  # noqa: E741
+    q = bindings.within(F.lit("between"), F.lit(5.0), F.lit(45.0), none, F.col("l_quantity"), F.lit(None).cast("string"))
+    d = bindings.within(F.lit("real_between"), F.lit(None).cast("double"), F.lit(0.08), none, F.col("l_discount"), F.lit(None).cast("string"))
+    e = bindings.within(F.lit("enum"), F.lit(None).cast("double"), F.lit(None).cast("double"), F.array(F.lit("A"), F.lit("N")), F.lit(None).cast("double"), F.col("l_returnflag"))
     return l.where(~(q & d & e)).select(F.col("l_orderkey").alias("orderkey"), F.col("l_linenumber").alias("linenumber"), F.col("l_quantity").alias("quantity"))
 
 

@@ -59,7 +59,7 @@ def load(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     from pyspark.errors import AnalysisException
 
     try:
-        texts = [r["value"] for r in spark.read.option("wholetext", True).option("pathGlobFilter", "*.bindings.yaml").text(path).collect()]
+        texts = [r["value"] for r in spark.read.text(path, wholetext=True, pathGlobFilter="*.bindings.yaml").collect()]
     except AnalysisException:
         texts = []
     rows = parse(texts)
