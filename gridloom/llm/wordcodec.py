@@ -42,6 +42,13 @@ class _Store(dict):
         return value
 
 
+def byte_letters() -> list[str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself where it prints, else the next from 256 on."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
+    hidden = iter(range(256, 512))
+    return [chr(b) if b in shown else chr(next(hidden)) for b in range(256)]
+
+
 def id_bytes(ids: list[int]) -> bytes:
     """Ids as little-endian unsigned 32-bit integers."""
     import numpy as np
@@ -66,7 +73,9 @@ def encoder(path: str) -> Callable[[str], bytes]:
     added = [t["content"] for t in spec["added_tokens"]]
     kind = "byte" if spec["normalizer"] is None else "word"
     whole = lambda text: id_bytes(tokenizer.encode(text, add_special_tokens=False).ids)
-    known = _Store(whole).__getitem__
+    merge, letter = tokenizer.model.tokenize, byte_letters().__getitem__
+    # A part is split and normalised already, so it goes straight to the library's merging model.
+    known = _Store(lambda part: id_bytes([t.id for t in merge("".join(map(letter, part.encode())))])).__getitem__
     odd, parts = re.compile(f"[^{PLAIN}]").search, re.compile(PATTERNS[kind]).findall
 
     def encode(text: str) -> bytes:
