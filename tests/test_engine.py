@@ -9,6 +9,7 @@ from gridloom.operators import audit, bindings, graph, lookups, parity, recurren
 from gridloom.plans import cache, model, scenarios
 from gridloom.sources import bindings as shards
 from gridloom.sources import workbook
+from gridloom.streaming import live
 
 # The published outputs of the default inputs.
 BASELINE = [61.28985507246378, 62.0859413288525, 62.38587341256677, 62.18725444354536, 61.487675962596306]
@@ -200,3 +201,26 @@ def test_requests(spark):
     got = {r["id"]: r for r in model.normalised(rows, {"a": "1", "b": "2"}).collect()}
     assert got[1]["inputs"] == {"a": "1", "b": "9"} and got[1]["unknown"] == ["x"] and got[2]["inputs"] == {"a": "1", "b": "2"}
     assert '"output_baseline[1]":"61.28985507246378"' in model.flat(model.evaluate(scenarios.defaults(spark))).first()["json"]
+
+
+def streamed(spark, out, mode, name):
+    query = out.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return sorted(map(str, spark.table(name).collect()))
+
+
+def test_streams_equal_batches(spark, tmp_path):
+    sweep, path = scenarios.sweep(spark), str(tmp_path / "scenarios")
+    sweep.write.parquet(path)
+    batch = live.evaluated(spark.read.schema(sweep.schema).parquet(path))
+    stream = live.evaluated(spark.readStream.schema(sweep.schema).parquet(path))
+    assert streamed(spark, stream, "append", "scenario_cells") == sorted(map(str, batch.collect())) != []
+
+    path = str(tmp_path / "edits")
+    rows = [("2024-01-01 10:05:00", "set"), ("2024-01-01 10:55:00", "set"), ("2024-01-01 11:00:00", "clear"), (None, "set"), ("2024-01-01 11:59:59", None)]
+    edits = spark.createDataFrame(rows, "ts string, event_type string").withColumn("ts", F.col("ts").cast("timestamp"))
+    edits.write.parquet(path)
+    batch = live.edits(spark.read.schema(edits.schema).parquet(path)).collect()
+    stream = live.edits(spark.readStream.schema(edits.schema).parquet(path))
+    assert streamed(spark, stream, "complete", "edit_counts") == sorted(map(str, batch))
+    assert sorted((str(r.start), str(r.event_type), r.n) for r in batch) == [("2024-01-01 10:00:00", "set", 2), ("2024-01-01 11:00:00", "None", 1), ("2024-01-01 11:00:00", "clear", 1)]
