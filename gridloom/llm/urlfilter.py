@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
+
 # Verdict, host and path of each rule.
 RULES = (
     ("block", "net", "/"),
@@ -86,7 +88,8 @@ def reputations(outcomes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     Rows with a null or empty host or a null outcome are left out.  No rows: empty tables.
     """
     seen = outcomes.where("host <> '' AND bad IS NOT NULL")
-    hosts = seen.groupBy("host").agg(F.count("*").alias("n"), F.sum(F.col("bad").cast("long")).alias("bad"))
+    # Every level reads the counts; as a table they are made once, and pages are not read again for each.
+    hosts = written(seen.groupBy("host").agg(F.count("*").alias("n"), F.sum(F.col("bad").cast("long")).alias("bad")), "host-outcomes")
     hosts = hosts.select("host", domain(F.col("host")).alias("domain"), suffix(F.col("host")).alias("suffix"), "n", "bad")
     total = lambda key: hosts.groupBy(key).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     overall = hosts.agg(((F.sum("bad") + 0.5) / (F.sum("n") + 1)).alias("m"))
