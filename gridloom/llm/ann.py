@@ -1,7 +1,8 @@
 """Approximate nearest neighbours: a robust-pruned directed graph for each shard.
 
-Vectors are dealt to shards of bounded size by a hash of their id; a shard is a binary table row
-of its vectors and its graph, so it is built, lost and rebuilt by one task.  Largest inner product
+Equal vectors are one point, named by the smallest of their ids and a hash of the vector.  Points are dealt to shards of
+bounded size by a hash of that id; a shard is a binary table row of its vectors and its graph, so
+it is built, lost and rebuilt by one task.  Largest inner product
 is made nearest by distance: one more component brings all vectors to the length of the longest,
 queries have zero there.
 
@@ -11,18 +12,20 @@ pruning then takes the nearest candidate and drops all that are ``ALPHA`` times
 to the point, and so on, which keeps short edges and those that lead elsewhere.  Chosen edges are
 made known to their ends, which prune again when they have too many.  Two rounds are run.
 
-Queries are sent to every shard and beam-searched there in blocks; a query's best of all shards
-are its result.  Scores are inner products of the vectors as given, in double precision.
+Queries are sent to every shard and beam-searched there in blocks.  A query's best points of all
+shards are replaced by the rows that have these vectors, as many of each as a result can hold, so
+a vector that a third of all rows share costs one point and its ties are in exact order.  Scores are inner products of the vectors as given, in double precision.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import forget, written
 from .vectors import matrix, usable
 
 K = 20
@@ -143,7 +146,7 @@ def build(points, degree: int = DEGREE, beam: int = BUILD_BEAM, alpha: float = A
     return graph, start
 
 
-INDEX = "shard long, n int, dim int, ids binary, vectors binary, graph binary, start int"
+INDEX = "shard long, n int, dim int, ids binary, codes binary, vectors binary, graph binary, start int"
 
 
 def _index(longest: float):
@@ -155,28 +158,41 @@ def _index(longest: float):
             for k in range(batch.num_rows):
                 rows = batch.column(1)[k].values
                 order = np.argsort(rows.field("id").to_numpy(), kind="stable")
-                ids, v = rows.field("id").to_numpy()[order], matrix(rows.field("v"))[order]
+                ids, codes, v = rows.field("id").to_numpy()[order], rows.field("code").to_numpy()[order], matrix(rows.field("v"))[order]
                 lift = np.sqrt(np.maximum(longest - (v * v).sum(1), 0))
                 graph, start = build(np.column_stack([v, lift]), seed=int(batch.column(0)[k].as_py()))
-                cells = [[batch.column(0)[k].as_py()], [len(ids)], [v.shape[1]], [ids.astype("<i8").tobytes()], [v.astype("<f8").tobytes()], [graph.astype("<u2" if len(ids) < 65535 else "<u4").tobytes()], [start]]
-                kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int32())
+                cells = [[batch.column(0)[k].as_py()], [len(ids)], [v.shape[1]], [ids.astype("<i8").tobytes()], [codes.astype("<i8").tobytes()], [v.astype("<f8").tobytes()], [graph.astype("<u2" if len(ids) < 65535 else "<u4").tobytes()], [start]]
+                kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.int32())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cells, kinds, strict=True)], [x.split()[0] for x in INDEX.split(", ")])
 
     return run
 
 
-def index(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", shard: int = SHARD) -> DataFrame:
-    """The index of all usable rows as a written table with a row for each shard.
+class Index(NamedTuple):
+    """Written tables: a row for each shard, and ``(point, code, id)`` of the rows that share their vector with others."""
 
-    Rows that repeat an id and vector are one.  Columns but the two named ones are ignored.
+    shards: DataFrame
+    members: DataFrame
+
+
+def index(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", shard: int = SHARD) -> Index:
+    """The index of all usable rows.
+
+    Rows that repeat an id and vector are one; an id with several vectors is found by each of them.
+    Columns but the two named ones are ignored.
     """
-    rows = usable(vectors, id_col, vector_col).distinct()
+    every = usable(vectors, id_col, vector_col)
+    rows = written(every.groupBy("v").agg(F.min("id").alias("id"), (F.min("id") < F.max("id")).alias("shared")).withColumn("code", F.xxhash64("v")), "points")
+    shared = rows.where("shared").select("v", F.col("id").alias("point"), "code")
+    members = written(every.join(shared, "v").select("point", "code", "id").distinct(), "graph-members")
     sizes = rows.agg(F.count("*").alias("n"), F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)).alias("longest")).first()
     shards = max(1, round((sizes["n"] or 0) / shard))
-    grouped = rows.groupBy(F.pmod(F.xxhash64("id"), F.lit(shards)).alias("shard")).agg(F.collect_list(F.struct("id", "v")).alias("rows"))
+    grouped = rows.groupBy(F.pmod(F.xxhash64("id"), F.lit(shards)).alias("shard")).agg(F.collect_list(F.struct("id", "code", "v")).alias("rows"))
     # A task for each few shards: a shard takes seconds to build and little room.
     spread = grouped.repartition(max(1, min(shards, 2000)), "shard")
-    return written(spread.mapInArrow(_index(float(sizes["longest"] or 0)), INDEX), "graph-index")
+    built = written(spread.mapInArrow(_index(float(sizes["longest"] or 0)), INDEX), "graph-index")
+    forget(rows)
+    return Index(built, members)
 
 
 def _query(k: int, beam: int):
@@ -186,9 +202,9 @@ def _query(k: int, beam: int):
 
         for batch in batches:
             for row in range(batch.num_rows):
-                n, dim, ids, raw, graph, start, block = (batch.column(c)[row] for c in range(7))
+                n, dim, ids, codes, raw, graph, start, block = (batch.column(c)[row] for c in range(8))
                 n, dim, start, rows = n.as_py(), dim.as_py(), start.as_py(), block.values
-                ids = np.frombuffer(ids.as_py(), "<i8")
+                ids, codes = np.frombuffer(ids.as_py(), "<i8"), np.frombuffer(codes.as_py(), "<i8")
                 v = np.frombuffer(raw.as_py(), "<f8").reshape(n, dim)
                 edges = graph.as_py()
                 wide = 2 if n < 65535 else 4
@@ -198,20 +214,20 @@ def _query(k: int, beam: int):
                 asked, q = rows.field("id").to_numpy(), matrix(rows.field("v"))
                 for at in range(0, len(asked), BATCH):
                     some, who = q[at : at + BATCH], asked[at : at + BATCH]
-                    met, _ = beam_search(points, edges, start, np.column_stack([some, np.zeros(len(some))]).astype(np.float32), beam, max(beam, k + 1))
+                    met, _ = beam_search(points, edges, start, np.column_stack([some, np.zeros(len(some))]).astype(np.float32), beam, max(beam, k))
                     score = np.einsum("rkd,rd->rk", v[np.maximum(met, 0)], some)
-                    score[(met < 0) | (ids[np.maximum(met, 0)] == who[:, None])] = -np.inf
+                    score[met < 0] = -np.inf
                     found = ids[np.maximum(met, 0)]
                     order = np.lexsort((found, -score))[:, :k]
                     lines = np.arange(len(some))[:, None]
-                    score, found = score[lines, order], found[lines, order]
+                    score, found, code = score[lines, order], found[lines, order], codes[np.maximum(met, 0)][lines, order]
                     fine = np.isfinite(score)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.broadcast_to(who[:, None], fine.shape)[fine]), pa.array(found[fine]), pa.array(score[fine])], ["query_id", "vec_id", "score"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.broadcast_to(who[:, None], fine.shape)[fine]), pa.array(found[fine]), pa.array(code[fine]), pa.array(score[fine])], ["query_id", "point", "code", "score"])
 
     return run
 
 
-def search(indexed: DataFrame, queries: DataFrame, k: int = K, beam: int = SEARCH_BEAM, id_col: str = "vec_id", vector_col: str = "embedding", block: int = 2048) -> DataFrame:
+def search(indexed: Index, queries: DataFrame, k: int = K, beam: int = SEARCH_BEAM, id_col: str = "vec_id", vector_col: str = "embedding", block: int = 2048) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the ``k`` nearest found of each query, ties to the smaller id.
 
     A query's own id is never among them.  Queries that are unusable have no rows; with fewer
@@ -221,9 +237,13 @@ def search(indexed: DataFrame, queries: DataFrame, k: int = K, beam: int = SEARC
     asked = usable(queries, id_col, vector_col).distinct()
     blocks = 1 + asked.count() // block
     grouped = asked.groupBy(F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block")).agg(F.collect_list(F.struct("id", "v")).alias("rows"))
-    shards = indexed.select("shard", "n", "dim", "ids", "vectors", "graph", "start")
+    shards = indexed.shards.select("shard", "n", "dim", "ids", "codes", "vectors", "graph", "start")
     work = shards.select(*shards.columns, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"))
     pairs = work.join(grouped, "block").repartition(max(1, min(2000, blocks * 12)), "shard", "block")
-    found = pairs.select("n", "dim", "ids", "vectors", "graph", "start", "rows").mapInArrow(_query(k, beam), "query_id long, vec_id long, score double")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    found = pairs.select("n", "dim", "ids", "codes", "vectors", "graph", "start", "rows").mapInArrow(_query(k + 1, beam), "query_id long, point long, code long, score double")
+    # One point more than asked for, and one row more of each: a query's own row may be among them.
+    top = lambda df, n, by, *order: df.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("rank") <= n)
+    points = top(found, k + 1, ["query_id"], F.desc("score"), "point", "code").drop("rank")
+    members = top(indexed.members, k + 1, ["point", "code"], "id").drop("rank")
+    near = points.join(members, ["point", "code"], "left").select("query_id", F.coalesce("id", "point").alias("vec_id"), "score").where("vec_id <> query_id")
+    return top(near, k, ["query_id"], F.desc("score"), "vec_id").select("query_id", "rank", "vec_id", "score")

@@ -241,6 +241,23 @@ def test_neighbours(spark):
     assert len(few) == 4 and ann.search(ann.index(vectors(spark, [])), frame).count() == 0
 
 
+def test_neighbours_of_a_common_vector(spark):
+    r = np.random.default_rng(6)
+    plain = {i: r.normal(size=12) for i in range(400)}
+    for i in range(0, 400, 3):
+        plain[i] = plain[0]
+    rows = [(i, list(map(float, v))) for i, v in plain.items()]
+    frame = vectors(spark, [*rows, rows[3], (3, rows[5][1]), (399, rows[1][1])])
+    asked = frame.where("vec_id % 20 = 0")
+    got = defaultdict(list)
+    for x in ann.search(ann.index(frame, shard=60), asked, k=15, beam=80).orderBy("query_id", "rank").collect():
+        got[x.query_id].append(x.vec_id)
+    pairs = [(i, plain[i]) for i in plain] + [(3, plain[5]), (399, plain[1])]
+    for q in range(0, 400, 20):
+        best = sorted((-round(float(v @ plain[q]), 9), i) for i, v in pairs if i != q)[:15]
+        assert got[q] == [i for _, i in best]
+
+
 def test_url_filter(spark):
     urls = ["http://A.Example.com/de/1?x", "https://x.example.net/en/2", "http://q.net", "http://q.net/", "x://b.org/fr/#a", "nothing", None, "", "http://", "https://notexample.com/de/", "ftp://example.com/de", "a://b://c/d"]
     urls += [f"http://spam{k % 2}.bad.com/{k}" for k in range(60)] + [f"http://site{k % 5}.good.com/{k}" for k in range(60)] + ["http://new.bad.com/", "http://new.good.com/"]
