@@ -2,12 +2,14 @@
 
 A table of labelled documents names the domain of some.  A multinomial naive Bayes classifier over
 hashed words, fitted on a bounded sample of it, gives every document a posterior over domains:
-its soft membership.  A document with rate r, n tokens and membership p adds r n p(k) expected
+its soft membership.  Only buckets whose count in some domain is far from its share of all words
+carry weights; the many rare words would else outweigh the few that tell domains apart.  A document with rate r, n tokens and membership p adds r n p(k) expected
 tokens to domain k.  Rates are nonnegative and minimise the squared distance of the domains' totals
 from the targets, by projected gradient steps from rate one.
 
 The squares are weighed by the inverse of the totals' curvature at rate one and rates by their
-tokens, so a step of size one is safe and a document's rate only depends on its membership.  A
+tokens, so a step of size one is safe and a document's rate only depends on its membership.
+Domains can be kept whole: their likely documents have a rate of at least one.  A
 step reads the documents once and moves one total per domain; nothing else reaches the driver.
 Words are exploded inside the task that reads them and added up there, so one row per document is
 shuffled.  The table of word weights that is broadcast has ``BUCKETS`` rows.
@@ -15,15 +17,22 @@ shuffled.  The table of word weights that is broadcast has ``BUCKETS`` rows.
 
 from __future__ import annotations
 
+import functools
+import math
+import operator
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import written
 
-BUCKETS = 1 << 14
+BUCKETS = 1 << 16
 #: Labelled documents of each domain that the classifier is fitted on, about.
 TRAIN_ROWS = 2000
 SMOOTHING = 0.5
+#: A bucket tells domains apart if a count is so many standard deviations from chance, and it or what chance would give is this large.
+DEVIATION, LEAST_COUNT = 8.0, 5
 #: Words that count in full; the evidence of longer texts is that of so many average words.
 EVIDENCE = 200
 #: Gradient steps at most, steps between two written tables, and the relative misfit that ends them.
@@ -46,12 +55,12 @@ def _words(docs: DataFrame, *keep: str) -> DataFrame:
     return docs.select(*keep, word.alias("w")).select(*keep, F.when(F.col("w").isNotNull(), F.pmod(F.xxhash64("w"), F.lit(BUCKETS))).alias("bucket"))
 
 
-def _weights(docs: DataFrame, labelled: DataFrame) -> tuple[list[str], DataFrame | None, list[float], list[float]]:
-    """Domains, the table ``(bucket, w0, w1, ...)``, the weights of unseen buckets, and log priors."""
+def _weights(docs: DataFrame, labelled: DataFrame) -> tuple[list[str], DataFrame | None, list[float]]:
+    """Domains, the table ``(bucket, w0, w1, ...)`` of the buckets that tell them apart, and log priors."""
     sizes = {r["domain"]: r["n"] for r in labelled.groupBy("domain").agg(F.count("*").alias("n")).collect()}  # a row for each domain
     names = sorted(sizes)
     if not names:
-        return [], None, [], []
+        return [], None, []
     share = F.create_map(*(F.lit(x) for d in names for x in (d, min(1.0, TRAIN_ROWS / sizes[d]))))
     sample = labelled.where(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 30)) < share[F.col("domain")] * (1 << 30))
     # The sample holds about TRAIN_ROWS ids of each domain, so it may be sent to every task.
@@ -59,23 +68,28 @@ def _weights(docs: DataFrame, labelled: DataFrame) -> tuple[list[str], DataFrame
     counts = [F.coalesce(F.sum(F.when(F.col("domain") == d, 1)), F.lit(0)).alias(f"c{k}") for k, d in enumerate(names)]
     table = written(_words(some, "domain").where("bucket IS NOT NULL").groupBy("bucket").agg(*counts), "word-counts")
     totals = table.agg(*(F.coalesce(F.sum(f"c{k}"), F.lit(0)).alias(f"c{k}") for k in range(len(names)))).first()
-    scale = [totals[k] + SMOOTHING * BUCKETS for k in range(len(names))]
-    import math
 
-    weights = table.select("bucket", *(F.ln((F.col(f"c{k}") + SMOOTHING) / scale[k]).alias(f"w{k}") for k in range(len(names))))
+    n = [totals[k] for k in range(len(names))]
+    share = sum((F.col(f"c{k}") for k in range(len(names))), F.lit(0)) / float(max(1, sum(n)))
+    chance = [share * float(size) for size in n]
+    # A little is added so that rounding alone is no deviation.
+    far = [F.abs(F.col(f"c{k}") - e) > F.sqrt(e * (1 - size / max(1, sum(n)))) * DEVIATION + 1e-6 for k, (e, size) in enumerate(zip(chance, n, strict=True))]
+    large = [F.greatest(F.col(f"c{k}").cast("double"), e) >= LEAST_COUNT for k, e in enumerate(chance)]
+    telling = table.where(functools.reduce(operator.or_, (a & b for a, b in zip(far, large, strict=True))))
+    weights = telling.select("bucket", *(F.ln((F.col(f"c{k}") + SMOOTHING) / (n[k] + SMOOTHING * BUCKETS) / share).alias(f"w{k}") for k in range(len(names))))
     every = sum(sizes.values())
-    return names, weights, [math.log(SMOOTHING / s) for s in scale], [math.log(sizes[d] / every) for d in names]
+    return names, weights, [math.log(sizes[d] / every) for d in names]
 
 
 def memberships(docs: DataFrame, labelled: DataFrame) -> tuple[list[str], DataFrame]:
     """Domains, and a written table ``(doc_id, uid, n_tokens, p0, p1, ...)`` with a row for every document."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    names, weights, unseen, prior = _weights(docs, labelled)
+    names, weights, prior = _weights(docs, labelled)
     words = _words(docs.withColumn("uid", F.monotonically_increasing_id()), "doc_id", "uid")
     if weights is None:
         return [], written(words.groupBy("doc_id", "uid").agg(F.count("bucket").alias("n_tokens")), "memberships")
     joined = words.join(F.broadcast(weights), "bucket", "left")  # BUCKETS rows at most
-    sums = [F.sum(F.coalesce(f"w{k}", F.when(F.col("bucket").isNotNull(), unseen[k]), F.lit(0.0))).alias(f"s{k}") for k in range(len(names))]
+    sums = [F.sum(F.coalesce(f"w{k}", F.lit(0.0))).alias(f"s{k}") for k in range(len(names))]
     found = joined.groupBy("doc_id", "uid").agg(F.count("bucket").alias("n_tokens"), *sums)
     temper = F.when(F.col("n_tokens") > EVIDENCE, F.lit(float(EVIDENCE)) / F.col("n_tokens")).otherwise(1.0)
     found = found.select("doc_id", "uid", "n_tokens", *((F.col(f"s{k}") * temper + prior[k]).alias(f"s{k}") for k in range(len(names))))
@@ -100,12 +114,24 @@ def _inverse(matrix: list[list[float]]) -> list[list[float]]:
     return [row[m:] for row in a]
 
 
-def rates(members: DataFrame, names: list[str], targets: dict[str, float], budget: float = 1.0) -> DataFrame:
+def _likeliest(names: list[str]) -> Column:
+    """The likeliest domain, of equal ones the first by name."""
+    top: Column = F.lit(None).cast("string")
+    if names:
+        best = F.greatest(*(F.col(f"p{k}") for k in range(len(names)))) if len(names) > 1 else F.col("p0")
+        for k in reversed(range(len(names))):
+            top = F.when(F.col(f"p{k}") == best, F.lit(names[k])).otherwise(top)
+    return top
+
+
+def rates(members: DataFrame, names: list[str], targets: dict[str, float], budget: float = 1.0, keep: Collection[str] = ()) -> DataFrame:
     """``members`` with a column ``rate``.
 
     ``targets``: shares of the mix for domains, scaled to sum to one; a domain not named gets
     none.  ``budget``: size of the mix as a share of all tokens.  No domain known, no token, or no
-    target for any known domain: every rate is one.
+    target for any known domain: every rate is one.  ``keep``: a document whose likeliest domain is
+    one of these has a rate of one or more; if that puts the targets out of reach, the totals come
+    as near to them as it allows.
     """
     m, wanted = len(names), [targets.get(d, 0.0) for d in names]
     now, p = members.withColumn("rate", F.lit(1.0)), [F.col(f"p{k}") for k in range(m)]
@@ -117,20 +143,25 @@ def rates(members: DataFrame, names: list[str], targets: dict[str, float], budge
         return now
     metric = _inverse([[sums[f"g{min(i, j)}_{max(i, j)}"] for j in range(m)] for i in range(m)])
     goal = [budget * sums["n"] * w / sum(wanted) for w in wanted]
+    least = F.when(_likeliest(names).isin(*keep), 1.0).otherwise(0.0) if keep else F.lit(0.0)
+    before = None
     for step in range(1, STEPS + 1):
         totals = now.agg(*(F.sum(F.col("rate") * n * p[k]).alias(f"t{k}") for k in range(m))).first()
         miss = [totals[k] - goal[k] for k in range(m)]
         move = [sum(metric[i][j] * miss[j] for j in range(m)) for i in range(m)]
         if max(map(abs, miss)) <= MISFIT * sum(goal) or max(map(abs, move)) < 1e-9:
             break
+        if before and max(abs(totals[k] - before[k]) for k in range(m)) <= MISFIT * sum(goal):
+            break  # the bounds hold the totals where they are
+        before = totals
         down = sum((F.lit(move[k]) * p[k] for k in range(m)), F.lit(0.0))
-        now = now.withColumn("rate", F.greatest(F.lit(0.0), F.col("rate") - down))
+        now = now.withColumn("rate", F.greatest(least, F.col("rate") - down))
         if step % CUT == 0:
             now = written(now, "rates")
     return now
 
 
-def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None, budget: float = 1.0) -> DataFrame:
+def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None, budget: float = 1.0, keep: Collection[str] = ()) -> DataFrame:
     """``(doc_id, uid, n_tokens, domain, rate)`` of every row; ``uid`` tells rows that repeat an id apart.
 
     Tokens are words between white space.  A null or empty text has none; its membership is the
@@ -138,13 +169,8 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None =
     first by name; null if no row is labelled.  Other columns are ignored.  No rows: no rows.
     """
     names, members = memberships(docs, labelled)
-    found = rates(members, names, targets or TARGETS, budget)
-    top: Column = F.lit(None).cast("string")
-    if names:
-        best = F.greatest(*(F.col(f"p{k}") for k in range(len(names)))) if len(names) > 1 else F.col("p0")
-        for k in reversed(range(len(names))):
-            top = F.when(F.col(f"p{k}") == best, F.lit(names[k])).otherwise(top)
-    return found.select("doc_id", "uid", "n_tokens", top.alias("domain"), "rate", *(F.col(f"p{k}").alias(f"p_{d}") for k, d in enumerate(names)))
+    found = rates(members, names, targets or TARGETS, budget, keep)
+    return found.select("doc_id", "uid", "n_tokens", _likeliest(names).alias("domain"), "rate", *(F.col(f"p{k}").alias(f"p_{d}") for k, d in enumerate(names)))
 
 
 def resample(docs: DataFrame, mixed: DataFrame) -> DataFrame:

@@ -197,6 +197,21 @@ def test_mixing_matches_plain_projection(spark):
     assert np.abs(got - rate).max() < 1e-5
 
 
+@pytest.mark.parametrize("share", [0.97, 0.5])
+def test_mixing_keeps_a_domain_whole(spark, share):
+    r = np.random.default_rng(3)
+    p = np.where(r.random(300)[:, None] < share, r.dirichlet([30, 1], 300), r.dirichlet([1, 30], 300))
+    n = r.integers(1, 50, 300)
+    frame = spark.createDataFrame([(k, k, int(n[k]), *map(float, p[k])) for k in range(300)], "doc_id long, uid long, n_tokens long, p0 double, p1 double")
+    rate = np.array([x.rate for x in mixing.rates(frame, ["good", "other"], {"good": 0.9, "other": 0.1}, keep=["good"]).orderBy("doc_id").collect()])
+    assert (rate[p[:, 0] >= p[:, 1]] >= 1).all() and (rate >= 0).all()
+    total = n @ (rate[:, None] * p) / n.sum()
+    if share < 0.9:
+        assert np.abs(total - [0.9, 0.1]).max() < 1e-3
+    else:
+        assert total[0] >= n @ p[:, 0] / n.sum() - 0.02  # out of reach: good documents are not cut down
+
+
 def vectors(spark, rows):
     return spark.createDataFrame([(i, v, "x", 3) for i, v in rows], "vec_id long, embedding array<double>, cls string, v int")
 
