@@ -7,7 +7,7 @@ lost with an executor.  The nodes found so far are the tables of all rounds, rea
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans import shared
@@ -76,6 +76,45 @@ def topology(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return n.join(e, "sheet", "full_outer").select("sheet", F.coalesce("n_nodes", F.lit(0)).alias("n_nodes"), F.coalesce("n_edges", F.lit(0)).alias("n_edges"))
 
 
+def summary(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """One row of counts: nodes, edges, leaves (nodes that depend on nothing) and edges with a cause noted.
+
+    ``edges`` may have a column ``causes``; null and empty lists note none.  No rows: zeros.
+    """
+    names = nodes.select("node").distinct()
+    leaves = names.join(edges.select(F.col("parent").alias("node")), "node", "left_anti")
+    cause = F.coalesce(F.size("causes") > 0, F.lit(False)) if "causes" in edges.columns else F.lit(False)
+    kinds = names.select(F.lit("node").alias("kind")).unionByName(leaves.select(F.lit("leaf").alias("kind"))).unionByName(edges.select(F.when(cause, "caused").otherwise("edge").alias("kind")))
+    count = lambda *kind: F.count_if(F.col("kind").isin(*kind))
+    return kinds.agg(count("node").alias("node_count"), count("edge", "caused").alias("edge_count"), count("leaf").alias("leaf_count"), count("caused").alias("provenance_edge_count"))
+
+
+def within_layers(nodes: DataFrame, edges: DataFrame, sweeps: int = 2) -> DataFrame:
+    """``(node, layer, rank)``: nodes ordered in their layers by the mean rank of their neighbours.
+
+    ``nodes(node, layer, position)`` start in order of position, ``edges(source, target)`` point to
+    higher layers.  A sweep goes up, ordering each layer by what its nodes read, then down by what
+    reads them; nodes without such neighbours count with their own rank, ties stay in order.  A
+    layer is ordered in one task, so this is for graphs that :func:`layout_enabled` lets through.
+    """
+    spark = nodes.sparkSession
+    rank = lambda *order: (F.row_number().over(Window.partitionBy("layer").orderBy(*order)) - 1).alias("rank")
+    now = nodes.select("node", "layer", rank("position", "node"))
+    schema = now.schema
+    top = nodes.agg(F.max("layer")).first()[0]
+    if top is None:
+        return now
+    links = edges.select("source", "target").distinct()
+    now = spark.read.schema(schema).parquet(shared.write(now, "ranks"))
+    for _ in range(sweeps):
+        for layer, own, other in [(k, "target", "source") for k in range(1, top + 1)] + [(k, "source", "target") for k in range(top - 1, -1, -1)]:
+            of = now.select(F.col("node").alias(other), F.col("rank").alias("r"))
+            middle = links.join(of, other).groupBy(F.col(own).alias("node")).agg(F.avg("r").alias("m"))
+            here = now.where(F.col("layer") == layer).join(middle, "node", "left").select("node", "layer", rank(F.coalesce("m", "rank"), "rank"))
+            now = spark.read.schema(schema).parquet(shared.write(now.where(F.col("layer") != layer).unionByName(here), "ranks"))
+    return now
+
+
 def unknown_ends(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Edges with an end that is no node."""
     known = nodes.select("node")

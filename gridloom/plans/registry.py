@@ -346,6 +346,11 @@ def graph_topology(spark, sf_dir):
     return graph.topology(*_graph(spark, sf_dir))
 
 
+@_query(f"WITH {_EDGES_SQL} SELECT (SELECT count(DISTINCT node) FROM nodes) AS node_count, (SELECT count(*) FROM edges) AS edge_count, (SELECT count(DISTINCT node) FROM nodes WHERE node NOT IN (SELECT parent FROM edges)) AS leaf_count, 0 AS provenance_edge_count")
+def graph_summary(spark, sf_dir):
+    return graph.summary(*_graph(spark, sf_dir))
+
+
 @_query(f"WITH {_EDGES_SQL} SELECT node, CASE WHEN node LIKE 'customer:%1' THEN 'target' WHEN sheet = 'customer' THEN 'output' WHEN sheet = 'region' THEN 'input' WHEN node = 'nation:3' THEN 'constant' ELSE 'internal' END AS role FROM nodes")
 def node_roles(spark, sf_dir):
     nodes, _ = _graph(spark, sf_dir)

@@ -105,6 +105,28 @@ def test_spans_and_rectangles(spark):
     assert rect([(2, 2), (2, 3), (3, 2), (3, 3)]) == ["B2:C3"] and rect([(2, 2), (2, 4), (3, 2), (3, 4)]) == ["B2:B3", "D2:D3"]
 
 
+def test_graph_summary_and_order_in_layers(spark):
+    import random
+
+    nodes = spark.createDataFrame([("a",), ("b",), ("c",), ("c",)], "node string")
+    edges = spark.createDataFrame([("a", "b", ["x"]), ("a", "c", None), ("b", "c", [])], "parent string, child string, causes array<string>")
+    assert tuple(graph.summary(nodes, edges).first()) == (3, 3, 1, 1)
+    assert tuple(graph.summary(nodes.limit(0), edges.limit(0)).first()) == (0, 0, 0, 0)
+    r = random.Random(8)
+    placed = [(f"n{k}", k % 3, k) for k in range(12)]
+    pairs = sorted({(a, b) for a, la, _ in placed for b, lb, _ in placed if la < lb and r.random() < 0.3})
+    columns = [[n for n, layer, _ in placed if layer == k] for k in range(3)]
+    for _ in range(2):
+        for k, side in [(1, 1), (2, 1), (1, 0), (0, 0)]:
+            at = {n: i for c in columns for i, n in enumerate(c)}
+            near = {n: [p[1 - side] for p in pairs if p[side] == n] for n in columns[k]}
+            columns[k].sort(key=lambda n, at=at, near=near: sum(at[x] for x in near[n]) / len(near[n]) if near[n] else at[n])
+    frame = spark.createDataFrame(placed, "node string, layer int, position int")
+    found = graph.within_layers(frame, spark.createDataFrame(pairs, "source string, target string"))
+    assert {(x["node"], x["layer"], x["rank"]) for x in found.collect()} == {(n, k, i) for k, c in enumerate(columns) for i, n in enumerate(c)}
+    assert graph.within_layers(frame.limit(0), spark.createDataFrame(pairs, "source string, target string")).count() == 0
+
+
 def test_graph_cycles_and_depth(spark):
     chain = spark.createDataFrame([(f"n{k + 1}", f"n{k}") for k in range(12)], "parent string, child string")
     nodes = spark.createDataFrame([(f"n{k}",) for k in range(13)], "node string")
