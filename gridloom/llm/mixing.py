@@ -166,7 +166,8 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None =
 
     Tokens are words between white space.  A null or empty text has none; its membership is the
     prior and its rate counts for nothing.  ``domain`` is the likeliest one, of equal ones the
-    first by name; null if no row is labelled.  Other columns are ignored.  No rows: no rows.
+    first by name; null if no row is labelled.  Labels of one domain alone, or of no document with
+    words, tell nothing: every membership is the prior and every rate is equal.  Other columns are ignored.  No rows: no rows.
     """
     names, members = memberships(docs, labelled)
     found = rates(members, names, targets or TARGETS, budget, keep)

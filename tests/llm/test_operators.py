@@ -197,6 +197,12 @@ def test_mixing_matches_plain_projection(spark):
     assert np.abs(got - rate).max() < 1e-5
 
 
+@pytest.mark.parametrize("labelled", [[(1, "clean"), (2, "clean")], [(90, "clean"), (91, "toxic")], [(51, "clean"), (50, "toxic")]])
+def test_mixing_with_labels_that_tell_nothing(spark, labelled):
+    found = mixing.mix(docs(spark, ROWS), spark.createDataFrame(labelled, "doc_id long, domain string"), keep=["clean"]).collect()
+    assert len(found) == len(ROWS) and {round(x.rate, 6) for x in found} == {1.0} and {x.domain for x in found} == {"clean"}
+
+
 @pytest.mark.parametrize("share", [0.97, 0.5])
 def test_mixing_keeps_a_domain_whole(spark, share):
     r = np.random.default_rng(3)
