@@ -436,6 +436,19 @@ def function_calls(spark, sf_dir):
     return audit.function_calls(docs)
 
 
+# Upper case as Spark has it: DuckDB maps a letter to one letter, these become more, of A-Z among others.
+_UPPER_SQL = "formula"
+for _c in "ßŉǰẖẗẘẙẚﬀﬁﬂﬃﬄﬅﬆ":
+    _UPPER_SQL = f"replace({_UPPER_SQL}, '{_c}', '{_c.upper()}')"
+
+
+@_query(rf"SELECT f AS function, count(*) AS n_calls, count(DISTINCT id) AS n_formulas, f IN ('OFFSET','INDEX','MATCH','CHOOSE','INDIRECT','XLOOKUP','HLOOKUP','VLOOKUP','LOOKUP') AS dynamic FROM (SELECT id, unnest(regexp_extract_all(upper({_UPPER_SQL}), '([A-Z][A-Z0-9_.]*)\(', 1)) AS f FROM (SELECT doc_id AS id, translate(text, chr(32) || chr(9) || chr(10), '(((') AS formula FROM documents)) GROUP BY f")
+def function_calls_whole(spark, sf_dir):
+    """Every document as a formula of its whole text, where a word before a space, tab or line break is a call."""
+    docs = _t(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.translate("text", " \t\n", "(((").alias("formula"))
+    return audit.function_calls(docs)
+
+
 @_query(r"SELECT name, count(DISTINCT doc_id) AS n_formulas FROM (VALUES ('the'), ('of'), ('Nation'), ('zzz')) AS v(name) LEFT JOIN (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z_\\][a-z0-9_.\\]*')) AS w FROM documents) ON w = lower(name) GROUP BY name")
 def name_usage(spark, sf_dir):
     names = spark.createDataFrame([("the",), ("of",), ("Nation",), ("zzz",)], "name string").coalesce(1)
