@@ -2,8 +2,8 @@
 
 A text is lower-cased (A-Z) and cut into words of digits, a-z and non-ASCII characters; rules are
 regular expressions over the words joined by single spaces, so punctuation and line breaks never
-matter.  Every rule names a keyword, one whole word that any match must hold; only rules whose
-keyword occurs in the text are run.
+matter.  Every rule names its keywords: any match must hold one of them as a whole word, so "gpl ?v?2"
+has "gpl", "gplv2" and "gpl2"; only rules with a keyword that occurs in the text are run.
 
 A detection is a span of words with a rule, a label and a rank.  Where one lies inside another of
 the same or a higher rank it is suppressed: the notice "licensed under the MIT license" swallows
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 class Rule(NamedTuple):
     name: str
     label: str
-    keyword: str
+    keywords: str
     pattern: str
     rank: int
     confidence: float
@@ -33,24 +33,24 @@ class Rule(NamedTuple):
 # The base phrases and their labels.
 BASE = (("cc by", "cc-by", "cc"), ("general public license", "gpl", "public"), ("all rights reserved", "reserved", "reserved"))
 
-#: Label, keyword, and the names under which texts speak of the licence, as a pattern over words.
+#: Label, keywords, and the names under which texts speak of the licence, as a pattern over words.
 NAMES = (
     ("mit", "mit", "mit"),
     ("apache-1.1", "apache", "apache(?: software)? (?:license )?(?:version |v)?1 1"),
-    ("apache-2.0", "apache", "apache(?: software)?(?: license)?(?: version| v)? ?2(?: 0)?"),
+    ("apache-2.0", "apache apache2", "apache(?: software)?(?: license)?(?: version| v)? ?2(?: 0)?"),
     ("bsd", "bsd", "bsd"),
-    ("bsd-2-clause", "bsd", "(?:bsd 2 clause|2 clause bsd|simplified bsd|freebsd)"),
+    ("bsd-2-clause", "bsd freebsd", "(?:bsd 2 clause|2 clause bsd|simplified bsd|freebsd)"),
     ("bsd-3-clause", "bsd", "(?:bsd 3 clause|3 clause bsd|new bsd|modified bsd|revised bsd)"),
     ("bsd-4-clause", "bsd", "(?:bsd 4 clause|4 clause bsd|original bsd)"),
     ("isc", "isc", "isc"),
-    ("gpl-2.0", "gpl", "(?:gnu )?gpl ?(?:version |v)?2(?: 0)?(?: only| or later)?"),
-    ("gpl-3.0", "gpl", "(?:gnu )?gpl ?(?:version |v)?3(?: 0)?(?: only| or later)?"),
+    ("gpl-2.0", "gpl gpl2 gplv2 gplversion", "(?:gnu )?gpl ?(?:version |v)?2(?: 0)?(?: only| or later)?"),
+    ("gpl-3.0", "gpl gpl3 gplv3 gplversion", "(?:gnu )?gpl ?(?:version |v)?3(?: 0)?(?: only| or later)?"),
     ("gpl-2.0", "gplv2", "(?:gnu )?gplv2"),
     ("gpl-3.0", "gplv3", "(?:gnu )?gplv3"),
     ("lgpl", "lesser", "(?:gnu )?lesser general public"),
-    ("lgpl-2.1", "lgpl", "(?:gnu )?lgpl ?(?:version |v)?2 1"),
-    ("lgpl-3.0", "lgpl", "(?:gnu )?lgpl ?(?:version |v)?3(?: 0)?"),
-    ("agpl-3.0", "agpl", "(?:gnu )?agpl ?(?:version |v)?3(?: 0)?"),
+    ("lgpl-2.1", "lgpl lgpl2 lgplv2 lgplversion", "(?:gnu )?lgpl ?(?:version |v)?2 1"),
+    ("lgpl-3.0", "lgpl lgpl3 lgplv3 lgplversion", "(?:gnu )?lgpl ?(?:version |v)?3(?: 0)?"),
+    ("agpl-3.0", "agpl agpl3 agplv3 agplversion", "(?:gnu )?agpl ?(?:version |v)?3(?: 0)?"),
     ("agpl-3.0", "affero", "(?:gnu )?affero general public"),
     ("mpl-1.1", "mozilla", "mozilla public(?: license)? (?:version |v)?1 1"),
     ("mpl-2.0", "mozilla", "mozilla public(?: license)?(?: version| v)? ?2(?: 0)?"),
@@ -160,9 +160,11 @@ class Scanner:
 
     def __init__(self, table: list[Rule]) -> None:
         self.table = table
-        self.by_word: dict[bytes, list[tuple[int, re.Pattern]]] = {}
+        self.patterns = [re.compile(f" (?:{r.pattern})(?= )".encode()) for r in table]
+        self.by_word: dict[bytes, list[int]] = {}
         for k, r in enumerate(table):
-            self.by_word.setdefault(r.keyword.encode(), []).append((k, re.compile(f" (?:{r.pattern})(?= )".encode())))
+            for word in r.keywords.encode().split():
+                self.by_word.setdefault(word, []).append(k)
         self.words = frozenset(self.by_word)
 
     def scan(self, text: bytes | None) -> tuple[int, list[tuple[int, int, int]]]:
@@ -174,13 +176,12 @@ class Scanner:
             return len(words), []
         line = b" " + b" ".join(words) + b" "
         gaps, found = None, []
-        for word in self.words.intersection(words):
-            for k, pattern in self.by_word[word]:
-                spans = [m.span() for m in pattern.finditer(line)]
-                if spans:
-                    gaps = np.flatnonzero(np.frombuffer(line, np.uint8) == 32) if gaps is None else gaps
-                    at = np.searchsorted(gaps, np.array(spans))
-                    found += [(a, b, k) for a, b in at.tolist()]
+        for k in {k for word in self.words.intersection(words) for k in self.by_word[word]}:  # a rule once, whatever keywords occur
+            spans = [m.span() for m in self.patterns[k].finditer(line)]
+            if spans:
+                gaps = np.flatnonzero(np.frombuffer(line, np.uint8) == 32) if gaps is None else gaps
+                at = np.searchsorted(gaps, np.array(spans))
+                found += [(a, b, k) for a, b in at.tolist()]
         return len(words), self.settle(found)
 
     def settle(self, found: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:

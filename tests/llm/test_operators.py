@@ -1,5 +1,6 @@
 """Every corpus operator against a plain version, and on odd rows."""
 
+import itertools
 import math
 import random
 import re
@@ -311,6 +312,39 @@ def test_license_rules(spark):
     assert licenses.scan(docs(spark, [])).count() == 0
 
 
+def matching(parsed):
+    """Every text that a parsed pattern matches, but for a long run of any characters."""
+    found = [""]
+    for op, arg in parsed:
+        if str(op) == "MAX_REPEAT":
+            each = matching(arg[2])
+            some = ["z z"] if arg[1] > 3 else [t for n in range(arg[0], arg[1] + 1) for t in map("".join, itertools.product(each, repeat=n))]
+        elif str(op) == "IN":
+            some = [chr(c) for o, v in arg for c in ([v] if str(o) == "LITERAL" else v)]
+        else:
+            some = {"LITERAL": lambda: [chr(arg)], "SUBPATTERN": lambda: matching(arg[3]), "BRANCH": lambda: [t for b in arg[1] for t in matching(b)], "ANY": lambda: ["z"]}[str(op)]()
+        found = [a + b for a in found for b in some]
+    return found
+
+
+def test_keywords_lose_no_match_of_their_rules():
+    scanner = licenses.Scanner(licenses.rules())
+    for k, rule in enumerate(scanner.table):
+        texts = matching(re._parser.parse(rule.pattern))
+        assert [t for t in texts if set(rule.keywords.split()).isdisjoint(t.split())] == []
+        for t in rng.sample(texts, min(3, len(texts))):
+            line = f" {t} ".encode()
+            ends = [i for i, c in enumerate(line) if c == 32]
+            every = [(ends.index(m.start()), ends.index(m.end()), n) for n, p in enumerate(scanner.patterns) for m in p.finditer(line)]
+            assert k in {n for _, _, n in every} and scanner.scan(t.encode())[1] == scanner.settle(every)
+
+
+@pytest.mark.parametrize(("name", "label"), [("LGPLv3", "lgpl-3.0"), ("AGPLv3", "agpl-3.0"), ("GPL3", "gpl-3.0"), ("GPL2", "gpl-2.0"), ("LGPLv2.1", "lgpl-2.1"), ("Apache2", "apache-2.0"), ("FreeBSD", "bsd-2-clause")])
+def test_fused_license_names(name, label):
+    scanner = licenses.Scanner(licenses.rules())
+    assert [scanner.table[k].label for _, _, k in scanner.scan(f"Licensed under {name}".encode())[1]] == [label]
+
+
 def test_suppression_matches_plain_version():
     scanner = licenses.Scanner(licenses.rules())
     for _ in range(300):
