@@ -277,6 +277,13 @@ def set_diff_keys(spark, sf_dir):
     return lookups.set_difference(a, _t(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("k")).distinct())
 
 
+@_query("(SELECT c_nationkey + 25 * c_custkey AS k, 'left' AS side FROM customer EXCEPT SELECT s_nationkey + 25 * s_suppkey, 'left' FROM supplier) UNION ALL (SELECT s_nationkey + 25 * s_suppkey, 'right' FROM supplier EXCEPT SELECT c_nationkey + 25 * c_custkey, 'right' FROM customer)")
+def set_diff_keys_whole(spark, sf_dir):
+    """All customers and suppliers; a key is shared where the same number has the same nation."""
+    a = _t(spark, sf_dir, "customer").select((F.col("c_nationkey") + 25 * F.col("c_custkey")).alias("k")).distinct()
+    return lookups.set_difference(a, _t(spark, sf_dir, "supplier").select((F.col("s_nationkey") + 25 * F.col("s_suppkey")).alias("k")).distinct())
+
+
 _OWNED_SQL = "SELECT c_nationkey AS address, c_name AS series_id, CASE c_custkey % 4 WHEN 0 THEN 'input' WHEN 1 THEN 'output' WHEN 2 THEN 'constant' ELSE 'internal' END AS direction FROM customer WHERE c_acctbal > 5000"
 
 
@@ -295,6 +302,26 @@ def owner_contested(spark, sf_dir):
     return lookups.contested(_owned(spark, sf_dir))
 
 
+_OWNED_WHOLE_SQL = "SELECT c_nationkey + 25 * (c_custkey // 60) AS address, c_name AS series_id, CASE c_custkey % 4 WHEN 0 THEN 'input' WHEN 1 THEN 'output' WHEN 2 THEN 'constant' ELSE 'internal' END AS direction FROM customer"
+
+
+def _owned_whole(spark, sf_dir):
+    """All customers, a few to an address: a nation among 60 customers."""
+    direction = F.get(F.array(*(F.lit(d) for d in ("input", "output", "constant", "internal"))), (F.col("c_custkey") % 4).cast("int"))
+    place = F.col("c_nationkey") + 25 * F.floor(F.col("c_custkey") / 60)
+    return _t(spark, sf_dir, "customer").select(place.alias("address"), F.col("c_name").alias("series_id"), direction.alias("direction"))
+
+
+@_query(f"SELECT address, series_id, direction FROM (SELECT *, row_number() OVER (PARTITION BY address ORDER BY list_position(['internal', 'constant', 'output', 'input'], direction), series_id) AS n FROM ({_OWNED_WHOLE_SQL})) WHERE n = 1")
+def owner_precedence_whole(spark, sf_dir):
+    return lookups.owner(_owned_whole(spark, sf_dir))
+
+
+@_query(f"SELECT address, direction, count(DISTINCT series_id) AS n FROM ({_OWNED_WHOLE_SQL}) GROUP BY ALL HAVING count(DISTINCT series_id) > 1")
+def owner_contested_whole(spark, sf_dir):
+    return lookups.contested(_owned_whole(spark, sf_dir))
+
+
 @_query("SELECT p_brand AS brand, p_size AS size, CASE WHEN count(*) OVER (PARTITION BY p_brand, p_size) = 1 THEN p_name END AS spec FROM part")
 def ambiguous_null(spark, sf_dir):
     rows = _t(spark, sf_dir, "part").select(F.col("p_brand").alias("brand"), F.col("p_size").alias("size"), F.col("p_name").alias("spec"))
@@ -389,6 +416,22 @@ def rectangles(spark, sf_dir):
     return bindings.rectangles(cells, ["flag"]).select("flag", "r1", "c1", "r2", "c2")
 
 
+_RECT_WHOLE_SQL = """
+WITH c AS (SELECT DISTINCT l_suppkey AS sheet, (l_orderkey % 401)::BIGINT AS r, (l_linenumber % 3 + 1)::BIGINT AS c FROM lineitem),
+s AS (SELECT sheet, r, min(c) AS c1, max(c) AS c2 FROM (SELECT *, c - row_number() OVER (PARTITION BY sheet, r ORDER BY c) AS i FROM c) GROUP BY sheet, r, i),
+g AS (SELECT sheet, r, string_agg(c1 || '-' || c2, ',' ORDER BY c1) AS sig FROM s GROUP BY sheet, r),
+m AS (SELECT sheet, sig, min(r) AS r1, max(r) AS r2 FROM (SELECT *, r - row_number() OVER (PARTITION BY sheet, sig ORDER BY r) AS i FROM g) GROUP BY sheet, sig, i)
+SELECT m.sheet, r1, c1, r2, c2 FROM m JOIN s ON s.sheet = m.sheet AND s.r = m.r1
+"""
+
+
+@_query(_RECT_WHOLE_SQL)
+def rectangles_whole(spark, sf_dir):
+    """All of lineitem, a sheet for each supplier, where cells are spread by order and line and leave gaps."""
+    cells = _t(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("sheet"), (F.col("l_orderkey") % 401).alias("row"), (F.col("l_linenumber") % 3 + 1).alias("col"))
+    return bindings.rectangles(cells, ["sheet"]).select("sheet", "r1", "c1", "r2", "c2")
+
+
 @_query("SELECT o_custkey AS custkey, o_orderkey AS orderkey, last_value(CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority END IGNORE NULLS) OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING) AS label FROM orders")
 def header_fill(spark, sf_dir):
     rows = _t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("custkey"), F.col("o_orderkey").alias("orderkey"), F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderpriority")).alias("label"))
