@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 VERSION = "1"
 MANIFEST = "stage string, label string, fingerprint string, written double"
@@ -33,6 +34,10 @@ def fingerprint(files: DataFrame) -> DataFrame:
     return each.agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "h"))), lambda x: F.concat(x["n"], F.lit("\0"), x["h"])), "\n").cast("binary"), 256).alias("fingerprint"))
 
 
+def _shape(schema: StructType) -> str:
+    return schema.simpleString()  # names and types: files hold every column as nullable
+
+
 class Cache:
     """Tables in ``folder`` by digest."""
 
@@ -42,16 +47,18 @@ class Cache:
         self._path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-    def get_or_build(self, digest: str, build: Callable[[], DataFrame], *, no_cache: bool = False, rebuild: bool = False) -> DataFrame:
-        """The entry, made by ``build`` if it is absent, broken or of another shape."""
+    def get_or_build(self, digest: str, build: Callable[[], DataFrame], *, no_cache: bool = False, rebuild: bool = False, shape: StructType | None = None) -> DataFrame:
+        """The entry, made by ``build`` if it is absent, broken or, where ``shape`` gives the schema expected, of another shape."""
         if no_cache:
             return build()
         made = None
         if not rebuild and self._fs.exists(self._path(f"{self.folder}/{digest}/_SUCCESS")):
             try:
-                return self.spark.read.parquet(f"{self.folder}/{digest}")
+                found = self.spark.read.parquet(f"{self.folder}/{digest}")
             except Exception:  # an entry that cannot be read is no entry
-                made = None
+                found = None
+            if found is not None and (shape is None or _shape(found.schema) == _shape(shape)):
+                return found
         made = build()
         made.write.mode("overwrite").parquet(f"{self.folder}/{digest}")
         return self.spark.read.schema(made.schema).parquet(f"{self.folder}/{digest}")

@@ -211,6 +211,14 @@ def test_cache_and_manifest(spark, tmp_path):
     assert cache.gathered([lambda: 1, lambda: 1 / 0], collect_errors=True)[0] == 1
 
 
+def test_cache_rebuilds_an_entry_of_another_shape(spark, tmp_path):
+    store = cache.Cache(spark, str(tmp_path / "c"))
+    now = spark.range(2).withColumn("x", F.lit("a"))
+    store.get_or_build("d", lambda: spark.range(3))
+    assert store.get_or_build("d", lambda: now, shape=now.schema).columns == ["id", "x"]
+    assert store.get_or_build("d", lambda: 1 / 0, shape=now.schema).count() == 2
+
+
 def test_lookups(spark):
     base = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "k string, v double")
     over = spark.createDataFrame([("a", None), ("z", 3.0)], "k string, v double")
