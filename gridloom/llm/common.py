@@ -12,11 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """Folder that the driver and every executor see.
 
-    It is ``spark.checkpoint.dir`` of the session.  Only where that is unset (tests on one
-    machine) a folder of our own is chosen, and the session told of it.
+    It is ``spark.checkpoint.dir`` of the session.  Where that is unset and the master is local, as in
+    tests, a folder of our own is chosen and the session told of it; on a cluster it is an error,
+    as executors would write to disks that no one else sees.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        master = spark.sparkContext.master
+        if master.startswith("local-cluster") or not master.startswith("local"):
+            raise ValueError(f"spark.checkpoint.dir is not set: master {master} needs a folder that all executors share")
         found = os.path.join(tempfile.gettempdir(), "gridloom-checkpoints")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -35,18 +39,25 @@ def written(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.option("compression", codec).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    found.written_at = path
+    return found
 
 
-def forget(df: DataFrame) -> None:
-    """Delete the files of a table made by :func:`written` that nothing reads any more."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    root = shared_dir(spark).removeprefix("file://")
-    for folder in {os.path.dirname(f) for f in df.inputFiles()}:
-        if root in folder:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+def forget(*tables: DataFrame) -> None:
+    """Delete the files of tables made by :func:`written` that nothing reads any more."""
+    for df in tables:
+        context = df.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(df.written_at)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``df`` has not, whatever the letters' case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

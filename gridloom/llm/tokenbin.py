@@ -9,10 +9,11 @@ The files are two tables in the shared folder, written by Spark's committers, so
 executor or a task run twice leaves no torn file:
 
 ``ranks``   ``rank int, id long``: the id of each rank, most frequent first, ties to smaller ids.
-``blocks``  ``shard int, block int, doc_ids array<long>, lens array<int>, n_ids long,
+``blocks``  ``shard int, block int, at long, doc_ids array<long>, lens array<int>, n_ids long,
             controls binary, data binary``: documents in ascending id order, shard after shard and
-            block after block; ``lens`` counts the ids of each document, its end id included.  The
-            streams of a block hold the ranks of all of them, one after another.
+            block after block; ``at`` counts the ids of the shard before the block, ``lens`` the
+            ids of each document, its end id included.  The streams of a block hold the ranks of
+            all of them, one after another.
 
 Documents are dealt to shards by ranges of their id, so shards are written and read in parallel.
 """
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import forget, new_path, table, written  # noqa: F401
+from .common import forget, new_path, written
 
 #: Ids of a shard and of a block, about; a document is never cut, so a block holds one at least.
 SHARD_IDS, BLOCK_IDS = 16_000_000, 400_000
@@ -55,48 +56,69 @@ def unpack(controls: bytes, data: bytes, count: int):
     return out.view("<u4").reshape(-1)
 
 
+#: Texts encoded between two Arrow batches: so many, or fewer once they have so many ids.
+ROWS, IDS = 1024, 1 << 21
+
+ENCODED = "doc_id long, width byte, ids binary, counts binary"
+
+
 def _encode(tokenizer: str, end_id: int):
+    """Rows ``ENCODED``: the ids of each document in 16 or 32 bits, and one row for a task's counts of every id.
+
+    A batch holds ``IDS`` ids and one document's at most, so only a single document of over 500
+    million ids is too long for it.
+    """
+
     def run(batches: Iterator) -> Iterator:
+        import numpy as np
         import pyarrow as pa
 
         from .wordcodec import encoder, id_bytes
 
-        encode, end = encoder(tokenizer), id_bytes([end_id])
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                ids = [encode(t.as_py() or "") + end for t in part.column(1)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(_narrow(ids), pa.binary())], ["doc_id", "ids"])
+        encode, end, total = encoder(tokenizer), id_bytes([end_id]), np.zeros(0, np.int64)
 
-    return run
+        def encoded(docs: list, found: list):
+            nonlocal total
+            wide = np.frombuffer(b"".join(found), "<u4")
+            counts = np.bincount(wide)
+            if len(counts) > len(total):
+                total = np.pad(total, (0, len(counts) - len(total)))
+            total[: len(counts)] += counts
+            size = 2 if len(counts) <= 1 << 16 else 4
+            ends = np.cumsum([0, *map(len, found)]) // 4 * size
+            ids = pa.Array.from_buffers(pa.binary(), len(docs), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(wide.astype(f"<u{size}"))])
+            return pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(np.full(len(docs), size, np.int8)), ids, pa.nulls(len(docs), pa.binary())], NAMES)
 
+        for batch in batches:
+            docs, found, held = [], [], 0
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                ids = encode(text.as_py() or "") + end
+                if docs and (len(docs) == ROWS or held + len(ids) > 4 * IDS):
+                    yield encoded(docs, found)
+                    docs, found, held = [], [], 0
+                docs.append(doc)
+                found.append(ids)
+                held += len(ids)
+            if docs:
+                yield encoded(docs, found)
+        if len(total):
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int8()), pa.nulls(1, pa.binary()), pa.array([total.astype("<i8").tobytes()], pa.binary())], NAMES)
 
-def _narrow(ids: list[bytes]) -> list[bytes]:
-    """Little-endian 16-bit ids after a byte 2 where all fit, else 32-bit ones after a byte 4."""
-    import numpy as np
-
-    out = []
-    for x in ids:
-        wide = np.frombuffer(x, "<u4")
-        out.append(b"\2" + wide.astype("<u2").tobytes() if len(wide) == 0 or wide.max() < 65536 else b"\4" + x)
-    return out
-
+    return run
 
-def _wide(kept: bytes):
-    import numpy as np
 
-    return np.frombuffer(kept, "<u2" if kept[0] == 2 else "<u4", offset=1)
+NAMES = [x.split()[0] for x in ENCODED.split(", ")]
 
 
 def _count(batches: Iterator) -> Iterator:
-    """The ids of a task and how often each occurs: no more rows than the vocabulary has."""
+    """How often each id occurs, from the counts of several tasks: no more rows than the vocabulary has."""
     import numpy as np
     import pyarrow as pa
 
     total = np.zeros(0, np.int64)
     for batch in batches:
         for kept in batch.column(0):
-            found = np.bincount(_wide(kept.as_py()))
+            found = np.frombuffer(kept.as_py(), "<i8")
             if len(found) > len(total):
                 total = np.pad(total, (0, len(found) - len(total)))
             total[: len(found)] += found
@@ -110,20 +132,20 @@ def _blocks(rank_of, block_ids: int):
         import pyarrow as pa
         from pyspark import TaskContext
 
-        shard, number, docs, lens, parts, held = TaskContext.get().partitionId(), 0, [], [], [], 0
+        shard, number, before, docs, lens, parts, held = TaskContext.get().partitionId(), 0, 0, [], [], [], 0
 
         def block():
             controls, data = pack(rank_of.value[np.concatenate(parts)])
             return pa.RecordBatch.from_pydict(
-                {"shard": pa.array([shard], pa.int32()), "block": pa.array([number], pa.int32()), "doc_ids": pa.array([docs], pa.list_(pa.int64())), "lens": pa.array([lens], pa.list_(pa.int32())), "n_ids": pa.array([held], pa.int64()), "controls": pa.array([controls], pa.binary()), "data": pa.array([data], pa.binary())}
+                {"shard": pa.array([shard], pa.int32()), "block": pa.array([number], pa.int32()), "at": pa.array([before], pa.int64()), "doc_ids": pa.array([docs], pa.list_(pa.int64())), "lens": pa.array([lens], pa.list_(pa.int32())), "n_ids": pa.array([held], pa.int64()), "controls": pa.array([controls], pa.binary()), "data": pa.array([data], pa.binary())}
             )
 
         for batch in batches:
-            for doc, kept in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = _wide(kept.as_py())
+            for doc, width, kept in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                ids = np.frombuffer(kept.as_py(), f"<u{width}")
                 if docs and held + len(ids) > block_ids:
                     yield block()
-                    number, docs, lens, parts, held = number + 1, [], [], [], 0
+                    number, before, docs, lens, parts, held = number + 1, before + held, [], [], [], 0
                 docs.append(doc)
                 lens.append(len(ids))
                 parts.append(ids)
@@ -134,7 +156,7 @@ def _blocks(rank_of, block_ids: int):
     return run
 
 
-BLOCKS = "shard int, block int, doc_ids array<long>, lens array<int>, n_ids long, controls binary, data binary"
+BLOCKS = "shard int, block int, at long, doc_ids array<long>, lens array<int>, n_ids long, controls binary, data binary"
 
 
 def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", shard_ids: int = SHARD_IDS, block_ids: int = BLOCK_IDS) -> None:
@@ -147,8 +169,8 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, id_col: s
 
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t"))
-    ids = written(rows.mapInArrow(_encode(tokenizer, end_id), "doc_id long, ids binary"), "ids", "zstd")
-    counts = ids.select("ids").mapInArrow(_count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    kept = written(rows.mapInArrow(_encode(tokenizer, end_id), ENCODED), "ids", "zstd")
+    counts = kept.where("counts IS NOT NULL").select("counts").mapInArrow(_count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     # One row for each id of the vocabulary: its size bounds what the driver sorts and sends out.
     ranked = [(r["id"], r["n"]) for r in counts.collect()]
     ranked.sort(key=lambda r: (-r[1], r[0]))
@@ -156,10 +178,11 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, id_col: s
     rank_of = np.zeros(1 + max((i for i, _ in ranked), default=0), np.uint32)
     rank_of[[i for i, _ in ranked]] = np.arange(len(ranked))
     shards = 1 + sum(n for _, n in ranked) // shard_ids
+    ids = kept.where("width IS NOT NULL").select("doc_id", "width", "ids")
     dealt = ids.repartitionByRange(max(shards, 2), F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "ids")
     sent = spark.sparkContext.broadcast(rank_of)
     dealt.mapInArrow(_blocks(sent, block_ids), BLOCKS).write.option("compression", "none").parquet(f"{path}/blocks")
-    forget(ids)
+    forget(kept)
 
 
 def _decode(ids_of):
@@ -192,10 +215,8 @@ def read_digests(spark: SparkSession, path: str) -> DataFrame:
     sizes = blocks.groupBy("shard").agg(F.sum("n_ids").alias("n"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # a row for each shard
     shards = sizes.select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shard_start"))
-    within = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    places = blocks.select("shard", "block", "n_ids").withColumn("at", F.coalesce(F.sum("n_ids").over(within), F.lit(0))).join(shards, "shard")
-    places = places.select("shard", "block", (F.col("shard_start") + F.col("at")).alias("start"))
-    rows = blocks.join(places, ["shard", "block"]).select("doc_ids", "lens", "start", "n_ids", "controls", "data")
+    # One row for each shard is joined; the blocks are not dealt anew while those rows are few.
+    rows = blocks.join(shards, "shard").select("doc_ids", "lens", (F.col("shard_start") + F.col("at")).alias("start"), "n_ids", "controls", "data")
     return rows.mapInArrow(_decode(spark.sparkContext.broadcast(ids_of)), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

@@ -2,21 +2,25 @@
 
 A byte-pair tokenizer splits a text by a fixed pattern and merges within each part alone.  So the
 ids of a text are the ids of its parts, one after another, and a part met before need not be
-merged again.  That holds where this module can split just as the library does: for texts of the
-characters in ``PLAIN``, whose classes no Unicode version has changed, that hold none of the
-tokenizer's added tokens.  Every other text goes to the library whole.  The store of parts is
-bounded: once it is full, new parts are encoded each time they are met.  It lives as long as the
-Python worker, which takes task after task.
+merged again.  That holds where this module can split just as the library does: for the two known
+pairs of normalizer and pre-tokenizer, and texts of the characters in ``PLAIN``, whose classes no
+Unicode version has changed, that hold none of the tokenizer's added tokens.  Every other text,
+and every text for any other vocabulary file, goes to the library whole.
+
+The store of parts is bounded by bytes: once it is full, new parts are encoded each time they are
+met.  It lives as long as the Python worker, which takes task after task.
 """
 
 from __future__ import annotations
 
+import array
 import functools
 import re
+import sys
 from collections.abc import Callable
 
-#: Parts kept at most.
-STORE = 1_000_000
+#: Bytes of a store, about; an entry costs its key, its value and what Python needs besides.
+STORE, ENTRY = 128 << 20, 170
 
 # The characters whose letters, digits and spaces are written out below, and the
 # split patterns of the public vocabularies, restricted to them.
@@ -31,13 +35,29 @@ PATTERNS = {
 }
 
 
+#: The normalizers and pre-tokenizers whose parts the patterns above give.
+LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True}
+SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+KNOWN = {
+    "byte": (None, LEVEL | {"use_regex": True}),
+    "word": (
+        {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+        {"type": "Sequence", "pretokenizers": [{"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True}, LEVEL | {"use_regex": False}]},
+    ),
+}
+
+
 class _Store(dict):
-    def __init__(self, make: Callable) -> None:
-        self.make = make
+    """Values by key, each made once while there is room."""
+
+    def __init__(self, make: Callable, room: int | None = None) -> None:
+        self.make, self.room = make, STORE if room is None else room
 
     def __missing__(self, part):
         value = self.make(part)
-        if len(self) < STORE:
+        cost = ENTRY + 2 * len(part) + (len(value) if isinstance(value, bytes) else 0)
+        if cost <= self.room:
+            self.room -= cost
             self[part] = value
         return value
 
@@ -51,9 +71,10 @@ def byte_letters() -> list[str]:
 
 def id_bytes(ids: list[int]) -> bytes:
     """Ids as little-endian unsigned 32-bit integers."""
-    import numpy as np
-
-    return np.asarray(ids, "<u4").tobytes()
+    found = array.array("I", ids)
+    if sys.byteorder == "big":
+        found.byteswap()
+    return found.tobytes()
 
 
 @functools.lru_cache(maxsize=4)
@@ -70,12 +91,14 @@ def encoder(path: str) -> Callable[[str], bytes]:
     tokenizer = Tokenizer.from_file(path)
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
-    added = [t["content"] for t in spec["added_tokens"]]
-    kind = "byte" if spec["normalizer"] is None else "word"
     whole = lambda text: id_bytes(tokenizer.encode(text, add_special_tokens=False).ids)
-    merge, letter = tokenizer.model.tokenize, byte_letters().__getitem__
+    kind = next((k for k, pair in KNOWN.items() if pair == (spec["normalizer"], spec["pre_tokenizer"])), None)
+    if kind is None or spec["model"]["type"] != "BPE" or spec["model"].get("dropout"):
+        return whole
+    added = [t["content"] for t in spec["added_tokens"]]
+    merge, letters = tokenizer.model.tokenize, "".join(byte_letters())
     # A part is split and normalised already, so it goes straight to the library's merging model.
-    known = _Store(lambda part: id_bytes([t.id for t in merge("".join(map(letter, part.encode())))])).__getitem__
+    known = _Store(lambda part: id_bytes([t.id for t in merge(part.encode().decode("latin-1").translate(letters))])).__getitem__
     odd, parts = re.compile(f"[^{PLAIN}]").search, re.compile(PATTERNS[kind]).findall
 
     def encode(text: str) -> bytes:
