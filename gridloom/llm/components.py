@@ -2,9 +2,10 @@
 
 The links stay distributed.  Each round first hooks every larger neighbour of a node to the
 smallest node it sees, then every smaller one; the rounds needed grow with the logarithm of the
-longest path.  A hub has one row per link, its minimum is pre-aggregated before the shuffle, and
-the join that follows is an inner sort-merge join that adaptive execution can split when one key
-is hot.  Every round is a written table, so no round depends on executors of an earlier one.
+longest path.  A hub has one row per link and its minimum is pre-aggregated before the shuffle.
+The minima are a table of their own: an aggregate in the stage of the join that follows would
+keep adaptive execution from splitting a hub.  Every round is a written table, so no round
+depends on executors of an earlier one.
 """
 
 from __future__ import annotations
@@ -22,15 +23,22 @@ def _state(edges: DataFrame) -> tuple:
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    least = written(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
+    hooked = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    return _then(hooked, least)
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
+    least = written(down.groupBy("a").agg(F.min("b").alias("m")), "least")
     hooked = down.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return hooked.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
+    return _then(hooked.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), least)
+
+
+def _then(links: DataFrame, used: DataFrame) -> DataFrame:
+    found = written(links, "links")
+    forget(used)
+    return found
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -43,8 +51,9 @@ def components(edges: DataFrame) -> DataFrame:
     now = written(edges.select("a", "b").distinct(), "links")
     state = _state(now)
     while state[0]:
-        new = written(_small_star(_large_star(now)), "links")
-        forget(now)
+        large = _large_star(now)
+        new = _small_star(large)
+        forget(now, large)
         now, before, state = new, state, _state(new)
         if state == before:
             break

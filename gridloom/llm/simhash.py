@@ -21,12 +21,12 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import forget, unused, written
 from .components import components
 
 SEED, WORDS, THRESHOLD = 42, 3, 3
-#: Fingerprints of one side in a block.
-BLOCK = 1024
+#: Fingerprints of one side in a block; fingerprints that a task replicates to their anchors, about.
+BLOCK, SPREAD = 1024, 1 << 15
 
 
 def fingerprint(text: bytes | None, words: int = WORDS, seed: int = SEED) -> int:
@@ -82,14 +82,19 @@ def _flip(i: Column) -> Column:
 
 def _anchors(half: Column, number: int) -> tuple[Column, Column]:
     """The anchors within two of a 32-bit half, and the home among them; ``number`` tells the halves apart."""
-    word, free, tag = half.bitwiseAND(F.lit((1 << 31) - 1)), F.lit(1 << 31), F.lit(number << 32)
-    s = _syndrome(word)
+    free, tag = F.lit(1 << 31), F.lit(number << 32)
+    s = _syndrome(half.bitwiseAND(F.lit((1 << 31) - 1)))
     home = half.bitwiseXOR(_flip(s))
     pairs = F.transform(F.sequence(F.lit(0), F.lit(31)), lambda i: half.bitwiseXOR(_flip(i.cast("long"))).bitwiseXOR(_flip(i.cast("long").bitwiseXOR(s))))
     near = F.array_distinct(F.concat(pairs, F.array(home.bitwiseXOR(free))))
     return F.transform(near, lambda a: a.bitwiseOR(tag)), home.bitwiseOR(tag)
 
 
+def _home(half: Column, number: int) -> Column:
+    """The home alone."""
+    return half.bitwiseXOR(_flip(_syndrome(half.bitwiseAND(F.lit((1 << 31) - 1))))).bitwiseOR(F.lit(number << 32))
+
+
 def _forest(batches: Iterator) -> Iterator:
     """Spanning forests of the links between the homes and the visitors of each block pair."""
     import numpy as np
@@ -124,20 +129,48 @@ def _forest(batches: Iterator) -> Iterator:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
 
 
-def links(nodes: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Links ``(a, b)`` that join what differs in 3 bits or fewer, of distinct fingerprints ``fp``."""
+def _places(nodes: DataFrame) -> DataFrame:
+    """``(cell, fp, home)``: every fingerprint at each of its 34 anchors at most."""
     low, high = F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned("fp", 32)
     sides = [_anchors(low, 0), _anchors(high, 1)]
-    places = nodes.select("fp", F.concat(*(a for a, _ in sides)).alias("cells"), *(h.alias(f"home{k}") for k, (_, h) in enumerate(sides)))
-    places = places.select("fp", F.explode("cells").alias("cell"), "home0", "home1").select("cell", "fp", ((F.col("cell") == F.col("home0")) | (F.col("cell") == F.col("home1"))).alias("home"))
-    size = places.groupBy("cell").agg(F.count("*").alias("n"), F.count_if("home").alias("n_home")).where("n_home > 0 AND n > 1")
-    size = size.select("cell", F.ceil(F.col("n_home") / block).alias("hs"), F.ceil(F.col("n") / block).alias("vs"))
-    dealt = places.join(size, "cell")
+    found = nodes.select("fp", F.explode(F.concat(*(a for a, _ in sides))).alias("cell"), *(h.alias(f"home{k}") for k, (_, h) in enumerate(sides)))
+    return found.select("cell", "fp", ((F.col("cell") == F.col("home0")) | (F.col("cell") == F.col("home1"))).alias("home"))
+
+
+def links(nodes: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Links ``(a, b)`` that join what differs in 3 bits or fewer, of distinct fingerprints ``fp``.
+
+    ``nodes`` is a table that is cheap to read.  Its rows are spread over tasks by their number before they are replicated, and
+    replicas are written once, only those that meet another fingerprint at home with their anchor.
+    """
+    spread = nodes.select("fp").repartition(max(1, -(-nodes.count() // SPREAD)), "fp")
+    half = [F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned("fp", 32)]
+    owners = nodes.select("fp", F.explode(F.array(*(_home(h, k) for k, h in enumerate(half)))).alias("cell"))
+    homes = written(owners.groupBy("cell").agg(F.count("*").alias("n_home"), F.min("fp").alias("only")), "simhash-homes")
+    lonely = (F.col("n_home") == 1) & (F.col("only") == F.col("fp"))
+    meet = written(_places(spread).join(homes, "cell").where(~lonely).select("cell", "fp", F.ceil(F.col("n_home") / block).alias("hs")), "simhash-visits")
+    size = written(meet.groupBy("cell").agg(F.max("hs").alias("hs"), F.ceil(F.count("*") / block).alias("vs")), "simhash-cells")
     salt = F.xxhash64("fp")
-    visitors = dealt.select("cell", "fp", F.lit(False).alias("home"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("hs") - 1)).alias("hb"), F.pmod(salt, "vs").alias("vb"))
-    owners = dealt.where("home").select("cell", "fp", F.lit(True).alias("home"), F.pmod(salt, "hs").alias("hb"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("vs") - 1)).alias("vb"))
-    pairs = owners.unionByName(visitors).groupBy("cell", "hb", "vb").agg(F.collect_list(F.when(F.col("home"), F.col("fp"))).alias("h"), F.collect_list(F.when(~F.col("home"), F.col("fp"))).alias("v"))
-    return pairs.where("size(h) > 0 AND size(v) > 0 AND NOT (size(h) = 1 AND size(v) = 1 AND h[0] = v[0])").select("h", "v").mapInArrow(_forest, "a long, b long")
+    upto = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+    dealt = meet.join(size.select("cell", "vs"), "cell").select("cell", "fp", F.lit(False).alias("home"), upto("hs").alias("hb"), F.pmod(salt, "vs").alias("vb"))
+    asked = owners.join(size, "cell").select("cell", "fp", F.lit(True).alias("home"), F.pmod(salt, "hs").alias("hb"), upto("vs").alias("vb"))
+    pairs = asked.unionByName(dealt).groupBy("cell", "hb", "vb").agg(F.collect_list(F.when(F.col("home"), F.col("fp"))).alias("h"), F.collect_list(F.when(~F.col("home"), F.col("fp"))).alias("v"))
+    found = written(pairs.where("size(h) > 0 AND size(v) > 0").select("h", "v").mapInArrow(_forest, "a long, b long"), "simhash-links")
+    forget(homes, meet, size)
+    return found
+
+
+def _grouped(prints: DataFrame, block: int) -> DataFrame:
+    """A written table ``(fp, root, component_id)`` of the distinct fingerprints of ``prints`` (id, fp)."""
+    nodes = written(prints.groupBy("fp").agg(F.min("id").alias("id")), "simhash-nodes")
+    linked = links(nodes, block)
+    roots = components(linked)
+    of = written(nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "id"), "simhash-roots")
+    # A table of its own: a join with the aggregate of its own rows could not be split where one component holds most of them.
+    least = written(of.groupBy("root").agg(F.min("id").alias("component_id")), "simhash-least")
+    found = written(of.join(least, "root").select("fp", "root", "component_id"), "simhash-components")
+    forget(nodes, linked, of, least)
+    return found
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
@@ -150,25 +183,51 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     names.  No rows: an empty result.
     """
     prints = written(fingerprints(docs, id_col, text_col), "fingerprints")
-    nodes = prints.groupBy("fp").agg(F.min("id").alias("id"))
-    roots = components(links(nodes.select("fp"), block))
-    of = written(nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "id"), "nodes")
-    least = of.groupBy("root").agg(F.min("id").alias("component_id"))
-    return prints.join(of.join(least, "root").select("fp", "component_id"), "fp").select(
+    return prints.join(_grouped(prints, block), "fp").select(
         F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
     """The documents with one of each near-duplicate group left: the one with the smallest id.
 
-    All columns stay as they are.  Of rows that repeat an id one stays; rows without an id have
-    nothing that tells them apart and all stay.
+    All columns stay as they are, whatever their names.  Documents in different groups all stay,
+    even if they share an id; of rows of one group that share the smallest id, one of those with
+    the smallest fingerprint stays.  Rows without an id have nothing that tells them apart and all
+    stay.
+
+    Documents are joined to the chosen ids alone.  Only of ids that several rows share are whole
+    documents fingerprinted again and ranked.
     """
+    prints = written(fingerprints(docs, id_col, text_col), "fingerprints")
+    of = prints.where("id IS NOT NULL").join(_grouped(prints, block), "fp").where("id = component_id")
+    best = written(of.groupBy("root", "id").agg(F.min("fp").alias("fp")), "simhash-best")
+    often = prints.groupBy("id").agg(F.count("*").alias("rows")).where("rows > 1")
+    chosen = best.join(often, "id", "left_anti").select("id")
+    key = unused(docs, "kept_id")
+    only = docs.join(chosen.withColumnRenamed("id", key), F.col(id_col).cast("long") == F.col(key), "left_semi")
+    return only.unionByName(_once(docs, best.join(often, "id", "left_semi"), id_col, text_col)).unionByName(docs.where(F.col(id_col).isNull()))
+
+
+def _once(docs: DataFrame, best: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Of the rows of ``docs`` whose id repeats, one for each ``(id, fp)`` of ``best``."""
     from pyspark.sql import Window
+    from pyspark.sql.types import LongType, StructField, StructType
+
+    key, mark, turn = unused(docs, "kept_id"), unused(docs, "print"), unused(docs, "turn")
+    names = docs.columns
+    some = docs.join(best.select(F.col("id").alias(key)).distinct(), F.col(id_col).cast("long") == F.col(key), "left_semi")
+    at, schema = names.index(text_col), StructType([*docs.schema.fields, StructField(mark, LongType())])
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            values = [fingerprint(t.as_py().encode() if isinstance(t.as_py(), str) else t.as_py()) for t in batch.column(at)]
+            signed = [v - (1 << 64) if v >> 63 else v for v in values]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(signed, pa.int64())], [*batch.schema.names, mark])
 
-    found = near_duplicates(docs, id_col, text_col)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    once = Window.partitionBy(id_col).orderBy(id_col)
-    named = docs.join(kept, docs[id_col] == kept["__kept"], "left_semi").withColumn("__n", F.row_number().over(once)).where("__n = 1").drop("__n")
-    return named.unionByName(docs.where(F.col(id_col).isNull()))
+    marked = some.mapInArrow(run, schema)
+    fits = marked.join(best.select(F.col("id").alias(key), F.col("fp").alias(turn)), (F.col(id_col).cast("long") == F.col(key)) & (F.col(mark) == F.col(turn)), "left_semi")
+    order = Window.partitionBy(id_col, mark).orderBy(*[F.col(f"`{c}`") for c in names if c == text_col])
+    return fits.withColumn(turn, F.row_number().over(order)).where(F.col(turn) == 1).select(*names)

@@ -89,6 +89,21 @@ def test_simhash_documents(spark):
     assert sorted(r.doc_id for r in kept.where("doc_id IS NOT NULL").collect()) == sorted(set(least.values()))
 
 
+def test_keep_one_of_repeated_ids_and_clashing_names(spark):
+    rows = [(1, text(50), 0, "a"), (1, text(50), 1, "b"), (2, BASE, 2, "c"), (2, BASE, 3, "d"), (3, BASE, 4, "e"), (None, BASE, 5, "f"), (4, text(40), 6, "g")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, kept_id int, turn string").selectExpr("*", "0 AS print", "1 AS __n")
+    got = simhash.keep_one(frame)
+    assert got.columns == frame.columns
+    kept = Counter((r.doc_id, r.text) for r in got.collect())
+    assert kept == Counter([(1, rows[0][1]), (1, rows[1][1]), (2, BASE), (None, BASE), (4, rows[6][1])])
+
+
+def test_components_of_a_hub(spark):
+    rows = [(0, k) for k in range(1, 3000)] + [(5000 + k, 5001 + k) for k in range(40)]
+    got = {r.node: r.root for r in components.components(spark.createDataFrame(rows, "a long, b long")).collect()}
+    assert got == roots(rows, {x for p in rows for x in p})
+
+
 def test_components(spark):
     pairs = [(k, k + 1) for k in range(30)] + [(100 + rng.randrange(20), 100 + rng.randrange(20)) for _ in range(12)]
     rows = [*pairs, (5, 5), (None, 3), (1, 0)]
