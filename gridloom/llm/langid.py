@@ -4,8 +4,9 @@ A text is lower-cased, each run of characters that are no letters becomes one sp
 n-grams of one to three characters are hashed into a fixed number of buckets.  Training sums the
 buckets of each language over a bounded, hash-drawn sample of the labelled rows; the matrix of
 smoothed log-probabilities (languages x buckets) is broadcast, its size set by the parameters and
-the number of languages.  Scoring sees a batch as a sparse matrix in row order, whose entries are
-the n-grams, and adds up the rows of the log-probability matrix that they select.
+the number of languages.  Scoring takes many texts at once: their n-grams are hashed in one pass
+and are a sparse matrix in row order, a row for each text and an entry for each n-gram, whose
+product with the log-probability matrix gives every text's sums.
 """
 
 from __future__ import annotations
@@ -36,24 +37,68 @@ def letters(text: str | None) -> str:
     return f" {kept.strip()} " if any(c.isalpha() for c in kept) else ""
 
 
-def hashed(text: str, buckets: int = BUCKETS):
-    """Buckets of all n-grams of a text that :func:`letters` made."""
+def _grams(text: str, buckets: int = BUCKETS) -> Iterator:
+    """Each order with the buckets of the n-grams that begin at every character, in order."""
     import numpy as np
 
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint32)
-    found, mixed = [], np.zeros(len(codes), np.uint32)
+    mixed = np.zeros(len(codes), np.uint32)
     for n in range(1, max(ORDERS) + 1):
+        if n > len(codes):
+            return
         mixed = mixed[: len(codes) - n + 1] * np.uint32(0x01000193) + codes[n - 1 :] * np.uint32(0x9E3779B1)
         if n in ORDERS:
             h = mixed ^ (mixed >> np.uint32(15)) ^ np.uint32(n * 0x51ED)
-            found.append((h * np.uint32(0x85EBCA6B)) >> np.uint32(32 - (buckets - 1).bit_length()))
-    return np.concatenate(found) if len(codes) else np.zeros(0, np.uint32)
+            yield n, (h * np.uint32(0x85EBCA6B)) >> np.uint32(32 - (buckets - 1).bit_length())
 
 
-def _pieces(text: str) -> list[str]:
-    """Overlapping parts that have each n-gram of two or more characters once, and bound the memory of one step."""
-    step = CHUNK - max(ORDERS) + 1
-    return [text[a : a + CHUNK] for a in range(0, max(1, len(text) - max(ORDERS) + 1), step)]
+def _parts(texts: list[str]) -> Iterator:
+    """Lists of ``(row, part, later)`` of ``CHUNK`` characters about; longer texts come in parts.
+
+    A later part begins with the last characters of the one before, so that each n-gram is in one
+    part whole; what it shares with the part before is not to be counted again.
+    """
+    some, held, step = [], 0, CHUNK - max(ORDERS) + 1
+    for row, text in enumerate(texts):
+        for at in range(0, max(1, len(text) - max(ORDERS) + 1), step):
+            part = text[at : at + CHUNK]
+            if some and held + len(part) > CHUNK:
+                yield some
+                some, held = [], 0
+            some.append((row, part, at > 0))
+            held += len(part)
+    if some:
+        yield some
+
+
+def _rows(some: list) -> Iterator:
+    """For each order the sparse matrix of the parts: where each part's entries begin, how many it has, and all buckets."""
+    import numpy as np
+
+    sizes = np.array([len(part) for _, part, _ in some], np.int64)
+    begins, later = np.cumsum(sizes) - sizes, np.array([late for _, _, late in some])
+    of = np.repeat(np.arange(len(some), dtype=np.int32), sizes)
+    for n, buckets in _grams("".join(part for _, part, _ in some)):
+        whole = of[: len(buckets)] == of[n - 1 :]  # an n-gram across a border is in neither text
+        for k in np.flatnonzero(later):
+            whole[begins[k] : begins[k] + max(ORDERS) - n] = False
+        counts = np.bincount(of[: len(buckets)][whole], minlength=len(some))
+        yield np.cumsum(counts) - counts, counts, buckets[whole]
+
+
+def sums(texts: list[str], weights):
+    """Sums of the weights of every text's n-grams, and how many there are; texts as :func:`letters` makes them."""
+    import numpy as np
+
+    total, many = np.zeros((len(texts), weights.shape[1])), np.zeros(len(texts), np.int64)
+    for some in _parts(texts):
+        row = np.array([r for r, _, _ in some])
+        for begins, counts, buckets in _rows(some):
+            has = counts > 0
+            if has.any():
+                np.add.at(total, row[has], np.add.reduceat(weights[buckets], begins[has], axis=0, dtype=np.float64))
+                np.add.at(many, row[has], counts[has])
+    return total, many
 
 
 def _sums(batches: Iterator) -> Iterator:
@@ -66,8 +111,9 @@ def _sums(batches: Iterator) -> Iterator:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             if kept := letters(text.as_py()):
                 total = totals.setdefault(lang, np.zeros(BUCKETS, np.int64))
-                for piece in _pieces(kept):
-                    total += np.bincount(hashed(piece), minlength=BUCKETS)
+                for some in _parts([kept]):
+                    for _, _, buckets in _rows(some):
+                        total += np.bincount(buckets, minlength=BUCKETS)
     for lang, total in totals.items():
         at = np.nonzero(total)[0]
         yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int64()), pa.array(total[at])], ["lang", "bucket", "n"])
@@ -95,22 +141,17 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     return langs, np.log(counts / counts.sum(0)).astype(np.float32)
 
 
-def score(text: str | None, langs: list[str], weights) -> tuple[str, float]:
-    """The likeliest language of a text and its tempered posterior."""
+def scores(texts: list[str | None], langs: list[str], weights) -> tuple[list[str], list[float]]:
+    """The likeliest language of every text and its tempered posterior."""
     import numpy as np
 
-    kept = letters(text)
-    if not kept:
-        return UNKNOWN, 0.0
-    total, n = np.zeros(len(langs)), 0
-    for piece in _pieces(kept):
-        at = hashed(piece)
-        total += weights[at].sum(0, dtype=np.float64)
-        n += len(at)
-    total *= min(1.0, EVIDENCE / n)
-    odds = np.exp(total - total.max())
-    best = int(total.argmax())
-    return langs[best], float(odds[best] / odds.sum())
+    kept = [letters(t) for t in texts]
+    total, many = sums(kept, weights)
+    total *= np.minimum(1.0, EVIDENCE / np.maximum(many, 1))[:, None]
+    best = total.argmax(1)
+    odds = np.exp(total - total.max(1, keepdims=True))
+    sure = odds.max(1) / odds.sum(1)
+    return [langs[b] if k else UNKNOWN for b, k in zip(best.tolist(), kept, strict=True)], [s if k else 0.0 for s, k in zip(sure.tolist(), kept, strict=True)]
 
 
 def _scores(model):
@@ -119,8 +160,8 @@ def _scores(model):
 
         langs, weights = model.value
         for batch in batches:
-            found = [score(t.as_py(), langs, weights) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], ["id", "lang_pred", "score"])
+            found, sure = scores(batch.column(1).to_pylist(), langs, weights)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string()), pa.array(sure, pa.float64())], ["id", "lang_pred", "score"])
 
     return run
 
@@ -169,7 +210,7 @@ def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def run(batches: Iterator) -> Iterator:
         langs, weights = sent.value
         for batch in batches:
-            found = (score(t.as_py(), langs, weights) for t in batch.column(at))
-            yield batch.filter(pa.array([lang != UNKNOWN and s >= least for lang, s in found], pa.bool_()))
+            found, sure = scores(batch.column(at).to_pylist(), langs, weights)
+            yield batch.filter(pa.array([lang != UNKNOWN and s >= least for lang, s in zip(found, sure, strict=True)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

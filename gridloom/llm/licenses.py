@@ -2,8 +2,8 @@
 
 A text is lower-cased (A-Z) and cut into words of digits, a-z and non-ASCII characters; rules are
 regular expressions over the words joined by single spaces, so punctuation and line breaks never
-matter.  Every rule names its keywords: any match must hold one of them as a whole word, so "gpl ?v?2"
-has "gpl", "gplv2" and "gpl2"; only rules with a keyword that occurs in the text are run.
+matter.  Every rule names its keywords: any match must hold one of them as a whole word; only rules with a keyword that occurs in the text are run.
+The rules themselves are in ``license_rules``.
 
 A detection is a span of words with a rule, a label and a rank.  Where one lies inside another of
 the same or a higher rank it is suppressed: the notice "licensed under the MIT license" swallows
@@ -19,6 +19,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import license_rules
+
 
 class Rule(NamedTuple):
     name: str
@@ -33,125 +35,26 @@ class Rule(NamedTuple):
 # The base phrases and their labels.
 BASE = (("cc by", "cc-by", "cc"), ("general public license", "gpl", "public"), ("all rights reserved", "reserved", "reserved"))
 
-#: Label, keywords, and the names under which texts speak of the licence, as a pattern over words.
-NAMES = (
-    ("mit", "mit", "mit"),
-    ("apache-1.1", "apache", "apache(?: software)? (?:license )?(?:version |v)?1 1"),
-    ("apache-2.0", "apache apache2", "apache(?: software)?(?: license)?(?: version| v)? ?2(?: 0)?"),
-    ("bsd", "bsd", "bsd"),
-    ("bsd-2-clause", "bsd freebsd", "(?:bsd 2 clause|2 clause bsd|simplified bsd|freebsd)"),
-    ("bsd-3-clause", "bsd", "(?:bsd 3 clause|3 clause bsd|new bsd|modified bsd|revised bsd)"),
-    ("bsd-4-clause", "bsd", "(?:bsd 4 clause|4 clause bsd|original bsd)"),
-    ("isc", "isc", "isc"),
-    ("gpl-2.0", "gpl gpl2 gplv2 gplversion", "(?:gnu )?gpl ?(?:version |v)?2(?: 0)?(?: only| or later)?"),
-    ("gpl-3.0", "gpl gpl3 gplv3 gplversion", "(?:gnu )?gpl ?(?:version |v)?3(?: 0)?(?: only| or later)?"),
-    ("gpl-2.0", "gplv2", "(?:gnu )?gplv2"),
-    ("gpl-3.0", "gplv3", "(?:gnu )?gplv3"),
-    ("lgpl", "lesser", "(?:gnu )?lesser general public"),
-    ("lgpl-2.1", "lgpl lgpl2 lgplv2 lgplversion", "(?:gnu )?lgpl ?(?:version |v)?2 1"),
-    ("lgpl-3.0", "lgpl lgpl3 lgplv3 lgplversion", "(?:gnu )?lgpl ?(?:version |v)?3(?: 0)?"),
-    ("agpl-3.0", "agpl agpl3 agplv3 agplversion", "(?:gnu )?agpl ?(?:version |v)?3(?: 0)?"),
-    ("agpl-3.0", "affero", "(?:gnu )?affero general public"),
-    ("mpl-1.1", "mozilla", "mozilla public(?: license)? (?:version |v)?1 1"),
-    ("mpl-2.0", "mozilla", "mozilla public(?: license)?(?: version| v)? ?2(?: 0)?"),
-    ("epl-1.0", "eclipse", "eclipse public(?: license)? (?:version |v)?1(?: 0)?"),
-    ("epl-2.0", "eclipse", "eclipse public(?: license)? (?:version |v)?2(?: 0)?"),
-    ("cddl-1.0", "cddl", "cddl(?: (?:version |v)?1 0)?"),
-    ("cddl-1.0", "development", "common development and distribution"),
-    ("cpl-1.0", "common", "common public"),
-    ("eupl", "european", "european union public"),
-    ("eupl", "eupl", "eupl(?: (?:version |v)?1 [012])?"),
-    ("artistic", "artistic", "artistic(?: license)?(?: [12] 0)?"),
-    ("zlib", "zlib", "zlib"),
-    ("libpng", "libpng", "libpng"),
-    ("boost", "boost", "boost software(?: license)?(?: 1 0)?"),
-    ("unlicense", "unlicense", "(?:the )?unlicense"),
-    ("wtfpl", "wtfpl", "wtfpl"),
-    ("python", "python", "python software foundation"),
-    ("postgresql", "postgresql", "postgresql"),
-    ("openssl", "openssl", "openssl"),
-    ("php", "php", "php(?: 3 01?)?"),
-    ("ruby", "ruby", "ruby"),
-    ("x11", "x11", "x11"),
-    ("ncsa", "ncsa", "(?:university of illinois )?ncsa(?: open source)?"),
-    ("ms-pl", "microsoft", "microsoft public"),
-    ("ms-rl", "microsoft", "microsoft reciprocal"),
-    ("osl-3.0", "osl", "osl(?: 3 0)?"),
-    ("afl-3.0", "academic", "academic free(?: license)?(?: 3 0)?"),
-    ("sleepycat", "sleepycat", "sleepycat"),
-    ("ofl", "ofl", "(?:sil )?ofl(?: 1 [01])?"),
-    ("ofl", "sil", "sil open font"),
-    ("gfdl", "gfdl", "(?:gnu )?gfdl(?: 1 [123])?"),
-    ("gfdl", "documentation", "(?:gnu )?free documentation"),
-    ("odbl", "odbl", "odbl(?: 1 0)?"),
-    ("odbl", "database", "open database"),
-    ("odc-by", "odc", "odc(?: by| attribution)"),
-    ("pddl", "pddl", "pddl"),
-    ("cc0", "cc0", "cc0(?: 1 0)?"),
-    ("cc-by", "attribution", "(?:creative commons )?attribution(?: [1234] 0)?(?: international| unported| generic)?"),
-    ("cc-by", "cc", "cc by(?: [1234] 0)?"),
-    ("cc-by-sa", "sa", "cc by sa(?: [1234] 0)?"),
-    ("cc-by-nc", "nc", "cc by nc(?: [1234] 0)?"),
-    ("cc-by-nd", "nd", "cc by nd(?: [1234] 0)?"),
-    ("cc-by-nc-sa", "nc", "cc by nc sa(?: [1234] 0)?"),
-    ("cc-by-nc-nd", "nc", "cc by nc nd(?: [1234] 0)?"),
-    ("cc-by-sa", "sharealike", "(?:creative commons )?attribution sharealike(?: [1234] 0)?"),
-    ("cc-by-nc", "noncommercial", "(?:creative commons )?attribution noncommercial(?: [1234] 0)?"),
-)
-#: What is said of a name: part of the rule's name, the words before, the words after, rank, confidence.
-FORMS = (
-    ("name", "", " licen[cs]es?", 1, 0.7),
-    ("under", "(?:licen[cs]ed|released|distributed|published|made available|provided|available) under (?:the )?(?:terms of )?(?:the )?", "(?: licen[cs]e)?", 2, 0.95),
-    ("covered", "(?:covered|governed) by (?:the )?(?:terms of )?(?:the )?", "(?: licen[cs]e)?", 2, 0.9),
-    ("subject", "subject to (?:the )?(?:terms (?:and conditions )?of )?(?:the )?", "(?: licen[cs]e)", 2, 0.9),
-    ("tag", "spdx licen[cs]e identifier ", "", 3, 0.99),
-    ("field", "licen[cs]e(?: is| type)? ", "", 1, 0.7),
-)
-#: Sentences of licences and notices: label, keyword, pattern.
-NOTICES = (
-    ("mit", "permission", "permission is hereby granted free of charge to any person obtaining a copy"),
-    ("mit", "noninfringement", "warranties of merchantability fitness for a particular purpose and noninfringement"),
-    ("isc", "permission", "permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee"),
-    ("bsd", "redistribution", "redistribution and use in source and binary forms with or without modification are permitted"),
-    ("bsd-3-clause", "neither", "neither the name of .{1,80} nor the names of its contributors"),
-    ("bsd-4-clause", "advertising", "all advertising materials mentioning features or use of this software"),
-    ("apache-2.0", "apache", "licensed under the apache license version 2 0"),
-    ("apache-2.0", "compliance", "you may not use this file except in compliance with the license"),
-    ("gpl", "redistribute", "you can redistribute it and or modify it under the terms of the gnu general public license"),
-    ("lgpl", "redistribute", "you can redistribute it and or modify it under the terms of the gnu lesser general public license"),
-    ("agpl-3.0", "affero", "under the terms of the gnu affero general public license"),
-    ("gpl", "gnu", "you should have received a copy of the gnu general public license"),
-    ("mpl-2.0", "mozilla", "this source code form is subject to the terms of the mozilla public license"),
-    ("unlicense", "unencumbered", "this is free and unencumbered software released into the public domain"),
-    ("zlib", "altered", "altered source versions must be plainly marked as such"),
-    ("boost", "boost", "boost software license version 1 0"),
-    ("wtfpl", "fuck", "do what the fuck you want to public license"),
-    ("public-domain", "domain", "(?:in(?:to)?|dedicated to) the public domain"),
-    ("cc0", "waived", "has waived all copyright and related"),
-    ("cc-by", "creative", "creative commons attribution"),
-    ("cc-by-sa", "alike", "creative commons attribution share alike"),
-    ("creative-commons", "creativecommons", "creativecommons org licenses"),
-    ("creative-commons", "commons", "creative commons"),
-    ("copyright", "copyright", "copyright (?:c )?(?:19|20)[0-9]{2}"),
-    ("copyright", "copyright", "copyright (?:c|©)"),
-    ("proprietary", "proprietary", "proprietary and confidential"),
-    ("proprietary", "unauthorized", "unauthorized (?:copying|use|reproduction|distribution)"),
-    ("no-reuse", "reproduced", "no part of this .{1,60} may be reproduced"),
-    ("permission-needed", "permission", "without (?:the )?(?:prior |express )?(?:written )?permission"),
-    ("reused", "permission", "(?:re)?(?:printed|used) (?:with|by) permission"),
-    ("noncommercial", "commercial", "(?:for )?non commercial use only"),
-    ("personal-use", "personal", "for personal use only"),
-)
-
-
 def rules() -> list[Rule]:
-    """All rules in order: base phrases, sentences, then each form of each name."""
+    """All rules in order: base phrases, the written signatures, and a tag for each public identifier."""
     found = [Rule(f"base:{label}", label, word, phrase, 1, 0.6, True) for phrase, label, word in BASE]
-    found += [Rule(f"notice:{k}:{label}", label, word, pattern, 3, 0.95) for k, (label, word, pattern) in enumerate(NOTICES)]
-    found += [Rule(f"{form}:{k}:{label}", label, word, f"{before}{name}{after}", rank, sure) for k, (label, word, name) in enumerate(NAMES) for form, before, after, rank, sure in FORMS]
+    for number, line in enumerate(license_rules.RULES.strip().splitlines(), 1):
+        label, rank, sure, keywords, pattern = line.split("; ", 4)
+        for name, wording in license_rules.SHARED.items():
+            pattern = pattern.replace(name, wording)
+        found.append(Rule(f"rule:{number}:{label}", label, keywords, pattern, int(rank), float(sure)))
+    for identifier in license_rules.IDENTIFIERS.split():
+        words = identifier.lower().replace("-", " ").replace(".", " ")
+        found.append(Rule(f"tag:{identifier}", _plain(identifier), "spdx", f"spdx licen[cs]e identifier {words}", 3, 0.99))
     return found
 
 
+def _plain(identifier: str) -> str:
+    """Label of an identifier: GPL-2.0-only and GPL-2.0-or-later are gpl-2.0, CC-BY-4.0 is cc-by."""
+    name = identifier.lower().removesuffix("-only").removesuffix("-or-later")
+    return re.sub(r"-[0-9.]+$", "", name) if name.startswith("cc") else name
+
+
 _WORDS = bytes(c + 32 if 65 <= c <= 90 else c if c > 0x7F or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 
 

@@ -18,6 +18,7 @@ shuffled.  The table of word weights that is broadcast has ``BUCKETS`` rows.
 from __future__ import annotations
 
 import functools
+import logging
 import math
 import operator
 from collections.abc import Collection
@@ -25,7 +26,9 @@ from collections.abc import Collection
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import unused, written
+
+_log = logging.getLogger(__name__)
 
 BUCKETS = 1 << 16
 #: Labelled documents of each domain that the classifier is fitted on, about.
@@ -43,9 +46,9 @@ TARGETS = {"clean": 0.90, "poor": 0.08, "toxic": 0.02}
 
 
 def domains(labels: DataFrame) -> DataFrame:
-    """``(doc_id, domain)`` from the quality table; rows without an id or any label are left out."""
+    """``(doc_id, domain)`` from the quality table, each pair once; rows without an id or any label are left out."""
     domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "poor").when(F.coalesce("quality", "toxic").isNotNull(), "clean")
-    return labels.select("doc_id", domain.alias("domain")).where("doc_id IS NOT NULL AND domain IS NOT NULL")
+    return labels.select("doc_id", domain.alias("domain")).where("doc_id IS NOT NULL AND domain IS NOT NULL").distinct()
 
 
 def _words(docs: DataFrame, *keep: str) -> DataFrame:
@@ -56,14 +59,18 @@ def _words(docs: DataFrame, *keep: str) -> DataFrame:
 
 
 def _weights(docs: DataFrame, labelled: DataFrame) -> tuple[list[str], DataFrame | None, list[float]]:
-    """Domains, the table ``(bucket, w0, w1, ...)`` of the buckets that tell them apart, and log priors."""
+    """Domains, the table ``(bucket, w0, w1, ...)`` of the buckets that tell them apart, and log priors.
+
+    A document that the labels name several times for one domain counts once.
+    """
+    labelled = labelled.select("doc_id", "domain").distinct()
     sizes = {r["domain"]: r["n"] for r in labelled.groupBy("domain").agg(F.count("*").alias("n")).collect()}  # a row for each domain
     names = sorted(sizes)
     if not names:
         return [], None, []
     share = F.create_map(*(F.lit(x) for d in names for x in (d, min(1.0, TRAIN_ROWS / sizes[d]))))
     sample = labelled.where(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 30)) < share[F.col("domain")] * (1 << 30))
-    # The sample holds about TRAIN_ROWS ids of each domain, so it may be sent to every task.
+    # The sample holds about TRAIN_ROWS distinct ids of each domain, so it may be sent to every task.
     some = docs.join(F.broadcast(sample.select("doc_id", "domain")), "doc_id")
     counts = [F.coalesce(F.sum(F.when(F.col("domain") == d, 1)), F.lit(0)).alias(f"c{k}") for k, d in enumerate(names)]
     table = written(_words(some, "domain").where("bucket IS NOT NULL").groupBy("bucket").agg(*counts), "word-counts")
@@ -158,6 +165,8 @@ def rates(members: DataFrame, names: list[str], targets: dict[str, float], budge
         now = now.withColumn("rate", F.greatest(least, F.col("rate") - down))
         if step % CUT == 0:
             now = written(now, "rates")
+    else:
+        _log.warning("mixing stopped after %d steps; totals miss the targets by %s of %s tokens", STEPS, [round(x) for x in miss], [round(x) for x in goal])
     return now
 
 
@@ -180,9 +189,10 @@ def resample(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     A rate is met in expectation: its whole part gives sure copies, and a hash of the id decides
     on one more.  Rows that repeat an id take that id's mean rate, rows without an id stay once.
     """
-    chance = F.pmod(F.xxhash64("__id", F.lit(11)), F.lit(1 << 30)) / float(1 << 30)
-    times = mixed.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("__id")).agg(F.avg("rate").alias("__r"))
-    times = times.select("__id", (F.floor("__r") + F.when(chance < F.col("__r") - F.floor("__r"), 1).otherwise(0)).cast("int").alias("__n")).where("__n > 0")
-    chosen = docs.join(times, docs["doc_id"] == times["__id"]).drop("__id")
-    repeated = chosen.withColumn("__k", F.explode(F.sequence(F.lit(1), F.col("__n")))).drop("__k", "__n")
+    key, rate, times, turn = (unused(docs, name) for name in ("mix_id", "mix_rate", "mix_times", "mix_turn"))
+    chance = F.pmod(F.xxhash64(key, F.lit(11)), F.lit(1 << 30)) / float(1 << 30)
+    often = mixed.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias(key)).agg(F.avg("rate").alias(rate))
+    often = often.select(key, (F.floor(rate) + F.when(chance < F.col(rate) - F.floor(rate), 1).otherwise(0)).cast("int").alias(times)).where(F.col(times) > 0)
+    chosen = docs.join(often, F.col("doc_id").cast("long") == F.col(key)).drop(key)
+    repeated = chosen.withColumn(turn, F.explode(F.sequence(F.lit(1), F.col(times)))).drop(turn, times)
     return repeated.unionByName(docs.where("doc_id IS NULL"))

@@ -14,6 +14,7 @@ for the class, which gives the sequence and the slot.
 
 from __future__ import annotations
 
+import logging
 import zlib
 from collections.abc import Iterator
 
@@ -25,6 +26,10 @@ from .common import written
 LENGTH, QUANTUM = 2048, 8
 #: Columns generated at most; the program is feasible at every step, so stopping costs padding only.
 COLUMNS = 4000
+#: Pieces, and bytes of their ids, in an Arrow batch at most, about.
+ROWS, BYTES = 1024, 1 << 23
+
+_log = logging.getLogger(__name__)
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary, class int, part int, local long"
 
@@ -81,6 +86,8 @@ def patterns(histogram: dict[int, int], capacity: int, columns: int = COLUMNS) -
         inverse -= np.outer(step, row)
         inverse[out] = row
         basis[:, out] = column
+    else:
+        _log.warning("packing stopped after %d columns; the padding may not be the least", columns)
     left = dict(zip(classes, (histogram[k] for k in classes), strict=True))
     chosen: list[tuple[int, dict[int, int]]] = []
     for j in range(m):
@@ -110,21 +117,25 @@ def _cut(tokenizer: str, end_id: int, length: int, quantum: int):
         from .wordcodec import encoder, id_bytes
 
         encode, end, part, seen = encoder(tokenizer), id_bytes([end_id]), TaskContext.get().partitionId(), {}
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int64())
+        flush = lambda rows: pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], [x.split()[0] for x in PIECES.split(", ")])
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                rows = []
-                some = batch.slice(at, 256)
-                for doc, text in zip(some.column(0).to_pylist(), some.column(1), strict=True):
-                    ids = encode(text.as_py() or "") + end
-                    total = len(ids) // 4
-                    for start in range(0, total, length):
-                        piece = ids[4 * start : 4 * (start + length)]
-                        size = len(piece) // 4
-                        kind = -(-size // quantum)
-                        rank = seen[kind] = seen.get(kind, -1) + 1
-                        rows.append((doc, start, size, zlib.crc32(piece), total, piece, kind, part, rank))
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], [x.split()[0] for x in PIECES.split(", ")])
+            rows, held = [], 0
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                ids = encode(text.as_py() or "") + end
+                total = len(ids) // 4
+                for start in range(0, total, length):
+                    piece = ids[4 * start : 4 * (start + length)]
+                    size = len(piece) // 4
+                    kind = -(-size // quantum)
+                    rank = seen[kind] = seen.get(kind, -1) + 1
+                    rows.append((doc, start, size, zlib.crc32(piece), total, piece, kind, part, rank))
+                    held += len(piece)
+                    if held > BYTES or len(rows) == ROWS:
+                        yield flush(rows)
+                        rows, held = [], 0
+            if rows:
+                yield flush(rows)
 
     return run
 

@@ -10,7 +10,8 @@ tokenizers tell case, forms and white space apart.
 
 Copies that one task reads are dropped before the shuffle, so a text that a third of all rows
 share is sent once by each task; what arrives for a digest meets in one task and is encoded there
-once.
+once.  The counts of the version are a written table when rows are joined to them, so adaptive
+execution can split the rows of one content over several tasks.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import new_path
+from .common import new_path, written
 
 CACHE = "content binary, version binary, n_tokens long"
 LIMIT = 4096
@@ -96,7 +97,8 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str | None = None, limi
     fill(docs, cache, tokenizer, text_col)
     version = version_digest(tokenizer)
     # Two runs that filled the cache at once may both have put a content; its counts are equal.
-    known = spark.read.schema(CACHE).parquet(cache).where(F.col("version") == F.lit(bytearray(version))).groupBy("content").agg(F.min("n_tokens").alias("n_tokens"))
+    stored = spark.read.schema(CACHE).parquet(cache).where(F.col("version") == F.lit(bytearray(version)))
+    known = written(stored.groupBy("content").agg(F.min("n_tokens").alias("n_tokens")), "token-counts-known")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"), F.unhex(F.sha2(text, 256)).alias("content"))
     return rows.join(known, "content").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

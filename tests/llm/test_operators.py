@@ -166,6 +166,43 @@ def test_language_id(spark):
     assert langid.identify(docs(spark, [])).count() == 0 and {r.lang_pred for r in langid.identify(docs(spark, [(1, "abc", None)])).collect()} == {"und"}
 
 
+def plain_grams(t):
+    """Every n-gram of one to three characters, hashed with whole numbers."""
+    for n in (1, 2, 3):
+        for i in range(len(t) - n + 1):
+            mixed = 0
+            for c in t[i : i + n]:
+                mixed = (mixed * 0x01000193 + ord(c) * 0x9E3779B1) % 2**32
+            h = mixed ^ (mixed >> 15) ^ (n * 0x51ED)
+            yield (h * 0x85EBCA6B) % 2**32 >> (32 - 15)
+
+
+def plain_letters(t):
+    words = "".join(c if c.isalpha() or (c.isalnum() and not c.isdigit() and re.match(r"[^\W\d_]", c)) else " " for c in t or "").lower().split()
+    return f" {' '.join(words)} " if words else ""
+
+
+def test_language_id_matches_plain_naive_bayes(spark, monkeypatch):
+    monkeypatch.setattr(langid, "CHUNK", 97)  # texts are scored in many parts
+    rows = [(k, text(rng.randint(1, 30)) if k % 2 else "".join(rng.choice("éàçñ öüß ab") for _ in range(rng.randint(1, 200))), ["fr", "en"][k % 2]) for k in range(60)] + [(70, "", "en"), (71, "123", "fr")]
+    counts = {lang: Counter() for lang in ("en", "fr")}
+    for i, t, lang in rows:
+        if zlib.crc32(str(i).encode()) % 4 != 2:
+            counts[lang].update(plain_grams(plain_letters(t)))
+    log = {lang: (lambda b, c=c, n=sum(c.values()): math.log((c[b] + 0.5) / (n + 0.5 * 2**15))) for lang, c in counts.items()}
+    langs, weights = langid.train(docs(spark, rows).where(~langid.held_out()))
+    found, sure = langid.scores([t for _, t, _ in rows], langs, weights)
+    for (_, t, _), lang, score in zip(rows, found, sure, strict=True):
+        grams = list(plain_grams(plain_letters(t)))
+        if not grams:
+            assert (lang, score) == ("und", 0.0)
+            continue
+        total = {k: min(1, langid.EVIDENCE / len(grams)) * sum(map(log[k], grams)) for k in langs}
+        odds = {k: math.exp(v - max(total.values())) for k, v in total.items()}
+        best = max(langs, key=total.get)
+        assert lang == best and abs(score - odds[best] / sum(odds.values())) < 1e-4
+
+
 def test_token_counts_and_cache(spark, monkeypatch):
     path = public_tokenizers.path("piece_bpe_32k.model")
     import sentencepiece
@@ -346,6 +383,7 @@ def test_keywords_lose_no_match_of_their_rules():
     scanner = licenses.Scanner(licenses.rules())
     for k, rule in enumerate(scanner.table):
         texts = matching(re._parser.parse(rule.pattern))
+        assert texts and all(re.fullmatch("[0-9a-z\x80-\uffff ]+", t) and t == " ".join(t.split()) for t in texts)
         assert [t for t in texts if set(rule.keywords.split()).isdisjoint(t.split())] == []
         for t in rng.sample(texts, min(3, len(texts))):
             line = f" {t} ".encode()
@@ -360,6 +398,45 @@ def test_fused_license_names(name, label):
     assert [scanner.table[k].label for _, _, k in scanner.scan(f"Licensed under {name}".encode())[1]] == [label]
 
 
+@pytest.mark.parametrize(
+    ("line", "labels"),
+    [
+        ("SPDX-License-Identifier: GPL-2.0-or-later", {"gpl-2.0"}),
+        ("SPDX-License-Identifier: LGPL-2.1-only", {"lgpl-2.1"}),
+        ("SPDX-License-Identifier: CC-BY-SA-4.0", {"cc-by-sa", "cc-by"}),
+        ("SPDX-License-Identifier: bzip2-1.0.6", {"bzip2-1.0.6"}),
+        ("Permission is hereby granted, free of charge, to any person obtaining a copy", {"mit"}),
+        ("Redistribution and use in source and binary forms, with or without modification, are permitted", {"bsd"}),
+        ("Neither the name of Acme Inc. nor the names of its contributors may be used", {"bsd-3-clause"}),
+        ("Licensed under the Apache License, Version 2.0 (the License)", {"apache-2.0"}),
+        ("See the GNU General Public License for more details.", {"gpl"}),
+        ("You can redistribute it and/or modify it under the terms of the GNU Lesser General Public License", {"lgpl", "gpl"}),  # a base phrase stays
+        ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", {"mpl-2.0"}),
+        ("http://creativecommons.org/licenses/by-nc/4.0/", {"cc-by-nc"}),
+        ("released under CC0 1.0", {"cc0"}),
+        ("Distributed under the Boost Software License, Version 1.0.", {"boost-1.0"}),
+        ("This is free and unencumbered software released into the public domain.", {"unlicense"}),
+        ("No part of this book may be reproduced", {"no-reuse"}),
+        ("Copyright (c) 2019 Somebody", {"copyright"}),
+        ("the same terms as Perl itself is what it is under", set()),
+        ("the boost of the summer was a gift", set()),
+        ("we met at the mozilla office to drink beer with an apache pilot", set()),
+        ("permission to enter the garden was given by the author", set()),
+        ("he is a python trainer and has common public sense", set()),
+        ("the general public has no licence to do so", set()),
+    ],
+)
+def test_license_examples(line, labels):
+    scanner = licenses.Scanner(licenses.rules())
+    assert {scanner.table[k].label for _, _, k in scanner.scan(line.encode())[1]} == labels
+
+
+def test_rules_are_written_out():
+    table = licenses.rules()
+    written = [r for r in table if r.name.startswith("rule:")]
+    assert len(written) >= 250 and len({r.pattern for r in written}) == len(written) and len({r.name for r in table}) == len(table)
+
+
 def test_suppression_matches_plain_version():
     scanner = licenses.Scanner(licenses.rules())
     for _ in range(300):
