@@ -31,7 +31,6 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their rate says: those found clean once or more, some poor and toxic ones not at all."""
-    docs = docs.drop("__id", "__n", "__k", "__r")
     return mixing.resample(docs, mixing.mix(docs, mixing.domains(table(spark, sf_dir, "labels")), keep=("clean",)))
 
 
