@@ -169,7 +169,7 @@ zlib; 2; 0.9; zlib; {under}zlib(?: {lic})?
 zlib; 3; 0.95; altered; altered source versions must be plainly marked as such
 zlib; 3; 0.9; origin; the origin of this software must not be misrepresented
 zlib-libpng; 1; 0.8; libpng; (?:zlib )?libpng {lic}
-libpng-2.0; 1; 0.8; libpng; png reference library {lic} version 2|libpng {lic} version 2
+libpng-2.0; 1; 0.8; libpng png; png reference library {lic} version 2|libpng {lic} version 2
 libtiff; 1; 0.8; libtiff; libtiff {lic}
 ijg; 1; 0.85; jpeg; independent jpeg group {lic}
 ijg; 3; 0.9; jpeg; this software is based in part on the work of the independent jpeg group
@@ -279,7 +279,7 @@ cc-by-nc-nd; 3; 0.95; creativecommons; creativecommons org licenses by nc nd [12
 creative-commons; 1; 0.6; commons; creative commons(?: {lic})?
 creative-commons; 2; 0.7; creativecommons; creativecommons org
 openrail; 1; 0.85; openrail; (?:creativeml )?openrail(?: m)?
-openrail; 1; 0.8; rail; responsible ai {lic}|open rail {lic}|rail {lic}
+openrail; 1; 0.8; rail responsible; responsible ai {lic}|open rail {lic}|rail {lic}
 llama; 1; 0.85; llama; llama [23](?: [1-3])? community {lic}
 gemma; 1; 0.8; gemma; gemma terms of use
 bsl-1.1; 1; 0.85; business; business source {lic}(?: {ver}1 1)?
