@@ -17,13 +17,14 @@ pairs are compared, by matrix products.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import forget, written
 from .components import components
 from .vectors import matrix, usable
 
@@ -116,22 +117,11 @@ def _join(threshold: float):
     return run
 
 
-def near_duplicates(vectors: DataFrame, cosine: float = COSINE, id_col: str = "vec_id", vector_col: str = "embedding", cell: int = CELL, block: int = BLOCK) -> DataFrame:
-    """``(vec_id, n_links, component_id, kept)`` of every row.
-
-    Vectors that are null, empty, zero or hold null or non-finite components link with nothing, and
-    neither do rows without an id.  Rows that repeat an id count as one vector if the vectors are
-    equal.  All vectors must have one dimension.  Other columns are ignored.  No rows: no rows.
-    """
+def _found(classes: DataFrame, cosine: float, cell: int, block: int) -> DataFrame:
+    """A written table of what :func:`_join` gives for ``classes`` (cls, v, members), whose vectors have one length."""
     import numpy as np
 
-    spark = vectors.sparkSession
-    fine = usable(vectors, id_col, vector_col)
-    classes = written(_classes(fine.distinct()), "vectors").select("cls", "v", "members")
-    n = classes.count()
-    every = vectors.select(F.col(id_col).cast("long").alias("vec_id"))
-    if not n:
-        return every.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
+    spark, n = classes.sparkSession, classes.count()
     # At most PIVOTS vectors, drawn by a hash of their id.
     drawn = classes.orderBy(F.xxhash64("cls"), "cls").limit(max(1, min(PIVOTS, n // cell))).select("v").collect()
     pivots = spark.sparkContext.broadcast(np.unique(_units(np.array([r["v"] for r in drawn])), axis=0))
@@ -149,9 +139,30 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, id_col: str = "v
     visitors = dealt.where("hs > 0").select("cell", upto("hs").alias("hb"), F.pmod(salt, "vs").alias("vb"), F.lit(False).alias("owner"), F.struct("cls", "u", "members").alias("x"))
     blocks = owners.unionByName(visitors).groupBy("cell", "hb", "vb").agg(F.collect_list(F.when(F.col("owner"), F.col("x"))).alias("h"), F.collect_list(F.when(~F.col("owner"), F.col("x"))).alias("v"))
     found = written(blocks.select("h", "v").mapInArrow(_join(cosine), "a long, b long, links long"), "vector-links")
-    counts = found.where("b IS NULL").groupBy(F.col("a").alias("cls")).agg(F.sum("links").alias("links"))
+    forget(placed)
+    return found
+
+
+def near_duplicates(vectors: DataFrame, cosine: float = COSINE, id_col: str = "vec_id", vector_col: str = "embedding", cell: int = CELL, block: int = BLOCK) -> DataFrame:
+    """``(vec_id, n_links, component_id, kept)`` of every row.
+
+    Vectors that are null, empty, zero or hold null or non-finite components link with nothing, and
+    neither do rows without an id.  Vectors link only with vectors of their own length (number of
+    components); each length is joined on its own.  Rows that repeat an id count as one vector if the vectors are
+    equal.  Other columns are ignored.  No rows: no rows.
+    """
+    fine = usable(vectors, id_col, vector_col)
+    classes = written(_classes(fine.distinct()).select("cls", "v", "members", F.size("v").alias("dim")), "vectors")
+    every = vectors.select(F.col(id_col).cast("long").alias("vec_id"))
+    lengths = sorted(r["dim"] for r in classes.select("dim").distinct().collect())  # a row for each length
+    if not lengths:
+        return every.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
+    found = functools.reduce(DataFrame.unionByName, (_found(classes.where(F.col("dim") == d).drop("dim"), cosine, cell, block) for d in lengths))
+    counts = written(found.where("b IS NULL").groupBy(F.col("a").alias("cls")).agg(F.sum("links").alias("links")), "vector-counts")
     roots = components(found.where("b IS NOT NULL").select("a", "b")).withColumnRenamed("node", "cls")
     known = classes.join(counts, "cls").join(roots, "cls", "left").select("v", (F.col("links") + F.col("members") - 1).alias("n_links"), F.coalesce("root", "cls").alias("component_id"))
+    # Written before rows are joined to it, so that the rows of one vector can be split.
+    known = written(known, "vector-classes")
     of = fine.distinct().join(known, "v").groupBy("id").agg(F.max("n_links").alias("n_links"), F.min("component_id").alias("component_id"))
     out = every.join(of, every["vec_id"] == of["id"], "left").select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))

@@ -95,18 +95,21 @@ WITH cut AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, str
 parts AS (
   SELECT page_id, translate(regexp_extract(coalesce(rest, ''), '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
     regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path FROM cut
-), named AS (SELECT *, regexp_extract(host, '([^.]*\.)?[^.]*$') AS domain, regexp_extract(host, '[^.]*$') AS suffix FROM parts),
+), sites AS (SELECT *, regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', '') AS site FROM parts),
+named AS (
+  SELECT *, CASE WHEN regexp_matches(site, '{urlfilter.ADDRESS}') THEN site ELSE regexp_extract(site, '{urlfilter.DOMAIN}') END AS domain,
+    CASE WHEN regexp_matches(site, '{urlfilter.ADDRESS}') THEN '{urlfilter.ADDRESSES}' WHEN regexp_extract(site, '{urlfilter.TWO_LABELS}', 1) <> '' THEN regexp_extract(site, '{urlfilter.TWO_LABELS}', 1) ELSE regexp_extract(site, '[^.]*$') END AS suffix FROM sites),
 outcomes AS (SELECT doc_id, CASE WHEN toxic = 1 OR quality = 0 THEN 1 WHEN quality IS NOT NULL OR toxic IS NOT NULL THEN 0 END AS bad FROM labels),
 hosted AS (
-  SELECT host, domain, suffix, count(*) AS n, sum(bad) AS bad FROM named JOIN outcomes ON doc_id = page_id
-  WHERE host <> '' AND bad IS NOT NULL GROUP BY host, domain, suffix
+  SELECT site, domain, suffix, count(*) AS n, sum(bad) AS bad FROM named JOIN outcomes ON doc_id = page_id
+  WHERE site <> '' AND bad IS NOT NULL GROUP BY site, domain, suffix
 ), overall AS (SELECT (sum(bad) + 0.5) / (sum(n) + 1) AS m FROM hosted),
 {_op8_level("suffixes", "SELECT suffix AS name, sum(n) AS n, sum(bad) AS bad, any_value(m) AS m FROM hosted, overall GROUP BY suffix")},
 {_op8_level("domains", "SELECT domain AS name, sum(n) AS n, sum(bad) AS bad, any_value(s.mean) AS m FROM hosted JOIN suffixes s ON s.name = suffix GROUP BY domain")},
-{_op8_level("hosts", "SELECT host AS name, n, bad, d.mean AS m FROM hosted JOIN domains d ON d.name = domain")}
+{_op8_level("hosts", "SELECT site AS name, n, bad, d.mean AS m FROM hosted JOIN domains d ON d.name = domain")}
 SELECT page_id, p.host, p.path, {rule} AS rule,
   coalesce({verdict}, CASE WHEN coalesce(h.bound, d.bound, s.bound, 0) >= {urlfilter.THRESHOLD} THEN 'block' ELSE 'allow' END) AS verdict
-FROM named p LEFT JOIN hosts h ON h.name = p.host LEFT JOIN domains d ON d.name = p.domain LEFT JOIN suffixes s ON s.name = p.suffix
+FROM named p LEFT JOIN hosts h ON h.name = p.site LEFT JOIN domains d ON d.name = p.domain LEFT JOIN suffixes s ON s.name = p.suffix
 """
 
 

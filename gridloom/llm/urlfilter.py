@@ -8,6 +8,11 @@ much its groups vary beyond chance (method of moments).  A host is blocked when
 posterior bound of its bad rate reaches a threshold; a host never seen is judged by the posterior
 of its domain, or of its suffix.
 
+A host's reputation leaves out user and port; an address in digits or brackets is its own domain,
+and all addresses share a suffix.  The suffix is the last label, or one of a short list of common
+suffixes of two labels; others of that kind (hundreds of public suffixes exist) are taken for
+registered domains.
+
 Everything is DataFrame expressions.  Labels are aggregated before they are shuffled, and the
 posteriors are joined to pages by host; a host with a third of all pages is a join that adaptive
 execution splits.
@@ -43,14 +48,36 @@ def host_path(url: Column) -> tuple[Column, Column]:
     return F.when(has, lower).otherwise(""), F.when(has, path).otherwise("")
 
 
-def domain(host: Column) -> Column:
-    """Registered domain: the last two labels of the host."""
-    return F.substring_index(host, ".", -2)
+# Common suffixes of two labels, under which owners register names of their own.
+SUFFIXES = """
+co.uk org.uk ac.uk gov.uk me.uk ltd.uk plc.uk net.uk sch.uk com.au net.au org.au edu.au gov.au id.au co.nz org.nz net.nz ac.nz govt.nz
+co.jp ne.jp or.jp ac.jp go.jp ad.jp co.kr or.kr ac.kr go.kr re.kr com.br net.br org.br gov.br edu.br com.cn net.cn org.cn gov.cn edu.cn ac.cn
+com.tw org.tw edu.tw gov.tw com.hk org.hk edu.hk gov.hk com.sg edu.sg gov.sg org.sg com.my edu.my gov.my com.mx org.mx gob.mx edu.mx
+com.ar gob.ar edu.ar com.tr org.tr gov.tr edu.tr co.in net.in org.in ac.in gov.in co.za org.za ac.za gov.za co.il org.il ac.il gov.il
+com.ua org.ua gov.ua com.pl net.pl org.pl edu.pl co.id or.id ac.id go.id co.th in.th ac.th go.th com.vn edu.vn com.ph gov.ph com.pk edu.pk
+com.eg com.sa com.co com.pe com.ve co.at or.at ac.at com.es org.es co.hu com.gr com.ro com.ng co.ke
+github.io gitlab.io blogspot.com herokuapp.com netlify.app vercel.app web.app pages.dev
+""".split()
+_TWO = "|".join(x.replace(".", r"\.") for x in SUFFIXES)
+#: Patterns over a name without user and port, for the SQL as well.
+ADDRESS, DOMAIN, TWO_LABELS = r"^([0-9]+(\.[0-9]+){3}|\[.*)$", rf"(?:[^.]*\.)?(?:{_TWO}|[^.]*)$", rf"(?:^|\.)({_TWO})$"
+ADDRESSES = "(address)"
+
+
+def site(host: Column) -> Column:
+    """Host without user and port: what a reputation belongs to."""
+    return F.regexp_replace(F.regexp_replace(host, "^.*@", ""), r":[0-9]*$", "")
+
+
+def domain(name: Column) -> Column:
+    """Registered domain of a site: its suffix and the label before; an address is its own."""
+    return F.when(name.rlike(ADDRESS), name).otherwise(F.regexp_extract(name, DOMAIN, 0))
 
 
-def suffix(host: Column) -> Column:
-    """Last label of the host."""
-    return F.substring_index(host, ".", -1)
+def suffix(name: Column) -> Column:
+    """One of ``SUFFIXES``, or the last label; all addresses have one of their own."""
+    two = F.regexp_extract(name, TWO_LABELS, 1)
+    return F.when(name.rlike(ADDRESS), ADDRESSES).when(two != "", two).otherwise(F.substring_index(name, ".", -1))
 
 
 def matched(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
@@ -83,21 +110,22 @@ def _bound(a: Column, b: Column) -> Column:
 
 
 def reputations(outcomes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Posteriors ``(name, a, b)`` of hosts, domains and suffixes from ``(host, bad)`` rows.
+    """Posteriors ``(name, a, b)`` of sites, domains and suffixes from ``(host, bad)`` rows, ``host`` a site.
 
-    Rows with a null or empty host or a null outcome are left out.  No rows: empty tables.
+    Rows with a null or empty host or a null outcome are left out.  No rows: empty tables.  Every
+    level is a written table: its plan is not repeated by the next, and a join by a suffix that
+    most domains share can be split.
     """
     seen = outcomes.where("host <> '' AND bad IS NOT NULL")
-    # Every level reads the counts; as a table they are made once, and pages are not read again for each.
     hosts = written(seen.groupBy("host").agg(F.count("*").alias("n"), F.sum(F.col("bad").cast("long")).alias("bad")), "host-outcomes")
     hosts = hosts.select("host", domain(F.col("host")).alias("domain"), suffix(F.col("host")).alias("suffix"), "n", "bad")
     total = lambda key: hosts.groupBy(key).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     overall = hosts.agg(((F.sum("bad") + 0.5) / (F.sum("n") + 1)).alias("m"))
-    suffixes = _level(total("suffix").join(F.broadcast(overall)).withColumnRenamed("suffix", "name"), "name", F.col("m"))
+    suffixes = written(_level(total("suffix").join(F.broadcast(overall)).withColumnRenamed("suffix", "name"), "name", F.col("m")), "suffix-posteriors")
     mean = lambda df, key: df.select(F.col("name").alias(key), (F.col("a") / (F.col("a") + F.col("b"))).alias("m"))
-    domains = total("domain").withColumn("suffix", suffix(F.col("domain"))).join(mean(suffixes, "suffix"), "suffix")
-    domains = _level(domains.withColumnRenamed("domain", "name"), "name", F.col("m"))
-    of_hosts = _level(hosts.join(mean(domains, "domain"), "domain").withColumnRenamed("host", "name"), "name", F.col("m"))
+    domains = written(total("domain").withColumn("suffix", suffix(F.col("domain"))), "domain-outcomes").join(mean(suffixes, "suffix"), "suffix")
+    domains = written(_level(domains.withColumnRenamed("domain", "name"), "name", F.col("m")), "domain-posteriors")
+    of_hosts = written(_level(hosts.join(mean(domains, "domain"), "domain").withColumnRenamed("host", "name"), "name", F.col("m")), "host-posteriors")
     return of_hosts, domains, suffixes
 
 
@@ -112,8 +140,8 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules=RULES, threshold: float =
     host, path = host_path(F.col(url_col))
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), host.alias("host"), path.alias("path"))
     labelled = rows.join(outcomes.select(F.col("page_id").cast("long").alias("page_id"), F.col("bad").cast("int").alias("bad")), "page_id")
-    hosts, domains, suffixes = (_bounded(df, k) for k, df in enumerate(reputations(labelled.select("host", "bad"))))
-    rows = rows.withColumns({"name0": F.col("host"), "name1": domain(F.col("host")), "name2": suffix(F.col("host"))})
+    hosts, domains, suffixes = (_bounded(df, k) for k, df in enumerate(reputations(labelled.select(site(F.col("host")).alias("host"), "bad"))))
+    rows = rows.withColumn("name0", site(F.col("host"))).withColumns({"name1": domain(F.col("name0")), "name2": suffix(F.col("name0"))})
     for k, df in enumerate((hosts, domains, suffixes)):
         rows = rows.join(df, f"name{k}", "left")
     rule, verdict = matched(F.col("host"), F.col("path"), rules)

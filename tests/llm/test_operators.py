@@ -315,6 +315,48 @@ def test_neighbours(spark):
     assert len(few) == 4 and ann.search(ann.index(vectors(spark, [])), frame).count() == 0
 
 
+def test_neighbours_of_extreme_norms_and_mixed_lengths(spark):
+    r = np.random.default_rng(9)
+    plain = {k: r.normal(size=16) for k in range(200)}
+    plain |= {200: plain[3] * 1e25, 201: plain[4] * 1e-30, 202: np.full(16, 1e200), 203: plain[5] * 1e4, 220: plain[6] * 1e25}
+    short = {k: r.normal(size=3) for k in range(300, 330)}
+    frame = vectors(spark, [(i, list(map(float, v))) for i, v in (plain | short).items()])
+    got = defaultdict(dict)
+    for x in ann.search(ann.index(frame), frame.where("vec_id % 20 = 0"), k=10).collect():
+        got[x.query_id][x["rank"]] = (x.vec_id, x.score)
+    assert set(got) == {k for k in plain if k % 20 == 0} | {300, 320}
+    for q, found in got.items():
+        some = plain if q in plain else short
+        with np.errstate(over="ignore"):
+            best = sorted(((-float(v @ some[q]), i) for i, v in some.items() if i != q))[:10]
+        assert [found[k + 1][0] for k in range(10)] == [i for _, i in best]
+
+
+def test_walks_meet_few_points(spark):
+    r = np.random.default_rng(12)
+    centres = r.normal(size=(60, 24))
+    points = (centres[r.integers(0, 60, 4000)] + 0.6 * r.normal(size=(4000, 24))).astype(np.float32)
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    queries = points[::40]
+    met, _, seen = ann.beam_search(points, *ann.build(points), queries, 48, 48)
+    best = np.argsort(-(queries @ points.T), 1)[:, :20]
+    recall = np.mean([len(set(a) & set(b)) / 20 for a, b in zip(met.tolist(), best.tolist())])
+    assert recall >= 0.9 and seen.mean() < 0.3 * len(points)
+
+
+def test_embedding_dedup_of_mixed_lengths(spark):
+    rows = [(1, [1.0, 0.0]), (2, [1.0, 0.01]), (3, [1.0, 0.0, 0.0]), (4, [1.0, 0.0, 0.01]), (5, [1.0, 0.01, 0.0]), (6, [3.0]), (7, [2.0]), (8, [-2.0])]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embdedup.near_duplicates(vectors(spark, rows)).collect()}
+    assert got == {1: (1, 1), 2: (1, 1), 3: (2, 3), 4: (2, 3), 5: (2, 3), 6: (1, 6), 7: (1, 6), 8: (0, 8)}
+
+
+def test_sites_domains_and_suffixes(spark):
+    names = {"a.bbc.co.uk": ("a.bbc.co.uk", "bbc.co.uk", "co.uk"), "h.com:8080": ("h.com", "h.com", "com"), "u@x.h.com": ("x.h.com", "h.com", "com"), "10.0.0.1:80": ("10.0.0.1", "10.0.0.1", "(address)"), "[::1]:80": ("[::1]", "[::1]", "(address)"), "localhost": ("localhost", "localhost", "localhost"), "co.uk": ("co.uk", "co.uk", "co.uk"), "x.github.io": ("x.github.io", "x.github.io", "github.io")}
+    frame = spark.createDataFrame([(h,) for h in names], "host string").withColumn("site", urlfilter.site(F.col("host")))
+    got = {r[0]: tuple(r)[1:] for r in frame.select("host", "site", urlfilter.domain(F.col("site")), urlfilter.suffix(F.col("site"))).collect()}
+    assert got == names
+
+
 def test_neighbours_of_a_common_vector(spark):
     r = np.random.default_rng(6)
     plain = {i: r.normal(size=12) for i in range(400)}
