@@ -92,8 +92,8 @@ def mentions(formula: Column, cell: Column) -> Column:
 
 
 def function_names(formula: Column) -> Column:
-    """Every function call of a formula, in order, repeats included."""
-    return F.regexp_extract_all(F.upper(formula), F.lit(r"([A-Z][A-Z0-9_.]*)\("), F.lit(1))
+    """Every function call of a formula, in order, repeats included; no letter, digit or underscore is before a name, so `_xlfn.XLOOKUP(` is XLOOKUP."""
+    return F.regexp_extract_all(F.upper(formula), F.lit(r"(?<![A-Z0-9_])([A-Z][A-Z0-9_.]*)\("), F.lit(1))
 
 
 def external(formula: Column) -> Column:
@@ -107,3 +107,24 @@ def resolved_label(wanted: Column, choices: Column) -> Column:
     begins = F.filter(choices, lambda c: F.startswith(F.trim(c), F.trim(wanted)))
     pick = F.when(F.size(exact) > 0, F.slice(exact, 1, 1)).when(F.size(trimmed) > 0, trimmed).otherwise(begins)
     return F.struct(F.when(F.size(pick) == 1, F.get(pick, F.lit(0))).alias("label"), F.when(F.size(pick) == 0, "unknown").when(F.size(pick) > 1, "ambiguous").alias("err"))
+
+
+def resolved_labels(rows: DataFrame, wanted: str, choices: DataFrame) -> DataFrame:
+    """``rows`` with ``label`` and ``err`` as :func:`resolved_label` gives them, matched by keys.
+
+    ``choices`` has a column ``choice``.  Each distinct choice is a row for each length of its
+    beginnings, so that a wanted label that begins a choice is an equi-join too; the shortest kind
+    of match that there is counts.
+    """
+    every = choices.select("choice").where("choice IS NOT NULL").distinct()
+    bare = F.trim("choice")
+    exact = every.select(F.col("choice").alias("k"), "choice", F.lit(0).alias("rank"))
+    trimmed = every.select(bare.alias("k"), "choice", F.lit(1).alias("rank"))
+    begun = every.select(F.explode(F.transform(F.sequence(F.lit(0), F.length(bare)), lambda n: F.left(bare, n))).alias("k"), "choice", F.lit(2).alias("rank"))
+    asked = rows.select(F.col(wanted).alias("__wanted")).where("__wanted IS NOT NULL").distinct()
+    plain = F.trim("__wanted")
+    hits = asked.join(exact, F.col("__wanted") == F.col("k")).unionByName(asked.join(trimmed.unionByName(begun), plain == F.col("k")))
+    best = hits.groupBy("__wanted", "rank").agg(F.count_distinct("choice").alias("n"), F.min("choice").alias("choice")).groupBy("__wanted").agg(F.min_by(F.struct("n", "choice", "rank"), "rank").alias("b"))
+    found = rows.join(best, rows[wanted] == best["__wanted"], "left")
+    one = F.col("b.n") == 1
+    return found.select(*rows.columns, F.when(one, F.col("b.choice")).alias("label"), F.when(F.col("b").isNull(), "unknown").when(~one, "ambiguous").alias("err"))

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Whole numbers that no double holds.
+HUGE = "^-?[1-9][0-9]{308,}$"
 VALUE = "struct<num:double,str:string,bool:boolean,err:string>"
 
 # The error classes of cells, and the functions whose references depend on values.
@@ -29,7 +31,8 @@ def typed(text: Column) -> Column:
     flag = F.when(F.upper(bare) == "TRUE", True).when(F.upper(bare) == "FALSE", False)
     error = F.when(bare.isin(*ERRORS), bare)
     plain = error.isNull() & flag.isNull()
-    return value(F.when(plain, number), F.when(plain & number.isNull(), text), F.when(error.isNull(), flag), error)
+    huge = bare.rlike(HUGE)  # beyond a double's range: kept as digits
+    return value(F.when(plain & ~huge, number), F.when(plain & (number.isNull() | huge), F.when(huge, bare).otherwise(text)), F.when(error.isNull(), flag), error)
 
 
 def is_blank(v: Column) -> Column:

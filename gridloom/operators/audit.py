@@ -19,6 +19,22 @@ def totals(cells: DataFrame) -> DataFrame:
     return cells.groupBy("sheet").agg(F.count("*").alias("n_cells"), count("formula"), count("value"), count("error"), count("blank"), F.count_if(address.external(F.col("formula"))).alias("n_external"))
 
 
+def largest(totals_: DataFrame, n: int = 3) -> DataFrame:
+    """The ``n`` sheets with most cells, ties by name."""
+    return totals_.orderBy(F.desc("n_cells"), "sheet").limit(n)
+
+
+def report(totals_: DataFrame, functions: DataFrame, names: DataFrame, title: str = "Workbook Audit") -> str:
+    """The audit as Markdown: totals, largest sheets, functions by use, names by use.  One row per sheet, function and name is read."""
+    sheets = totals_.orderBy("sheet").collect()
+    lines = [f"# {title}", "", "| sheet | cells | formulas | values | errors | blanks | external |", "|-|-|-|-|-|-|-|"]
+    lines += [f"| {r['sheet']} | {r['n_cells']} | {r['n_formula']} | {r['n_value']} | {r['n_error']} | {r['n_blank']} | {r['n_external']} |" for r in sheets]
+    lines += ["", "## Largest sheets", ""] + [f"{k}. {r['sheet']}: {r['n_cells']} cells" for k, r in enumerate(largest(totals_).collect(), 1)]
+    lines += ["", "## Functions", ""] + [f"- {r['function']}: {r['n_calls']} calls in {r['n_formulas']} formulas{' (dynamic)' if r['dynamic'] else ''}" for r in functions.orderBy(F.desc("n_calls"), "function").collect()]
+    lines += ["", "## Names", ""] + [f"- {r['name']}: {r['n_formulas']} formulas" for r in names.orderBy(F.desc("n_formulas"), "name").collect()]
+    return "\n".join(lines) + "\n"
+
+
 def function_calls(formulas: DataFrame, id_col: str = "id", formula_col: str = "formula") -> DataFrame:
     """``(function, n_calls, n_formulas, dynamic)``."""
     calls = formulas.select(id_col, F.explode(address.function_names(F.col(formula_col))).alias("function"))

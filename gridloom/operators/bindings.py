@@ -92,6 +92,18 @@ def leaf_kind(values: Column) -> Column:
     return F.when(F.size(values) == 1, "constant").when(values.isNotNull(), "input")
 
 
+def best_effort_leaf_kinds(leaves: DataFrame) -> DataFrame:
+    """``(node, kind)`` of ``leaves(node, vals)``; no row at all if a leaf has no domain."""
+    gaps = leaves.agg(F.count_if(F.col("vals").isNull()).alias("gaps"))  # one row
+    found = leaves.select("node", leaf_kind(F.col("vals")).alias("kind")).crossJoin(F.broadcast(gaps))
+    return found.where("gaps = 0").drop("gaps")
+
+
+def public(direction: Column, has_input: Column, has_compute: Column) -> Column:
+    """Whether a series belongs to the public interface: an input with an input block, an output with a compute."""
+    return F.coalesce(F.when(direction == "input", has_input).when(direction == "output", has_compute), F.lit(False))
+
+
 def domain_text(kind: Column, lo: Column, hi: Column, values: Column) -> Column:
     bound = lambda x: F.when(x == F.floor(x), x.cast("long").cast("string")).otherwise(x.cast("string"))
     return F.when(kind == "enum", F.array_join(values, ", ")).when(lo.isNull() & hi.isNull(), "any").when(lo.isNull(), F.concat(F.lit("x ≤ "), bound(hi))).when(hi.isNull(), F.concat(bound(lo), F.lit(" ≤ x"))).otherwise(F.concat(bound(lo), F.lit(" ≤ x ≤ "), bound(hi)))

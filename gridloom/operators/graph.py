@@ -33,22 +33,27 @@ def closure(edges: DataFrame, seeds: DataFrame, downstream: bool = True) -> Data
 def layers(nodes: DataFrame, edges: DataFrame) -> DataFrame | None:
     """``(node, layer)``: length of the longest path of dependencies below a node; None if there is a cycle.
 
-    Nodes are peeled off once all they depend on are: a round's nodes have its number.
+    Nodes carry how many of their dependencies are open.  A round joins only the newest layer's
+    nodes to the edges and takes those off; nodes left with none are the next layer.  Edges whose
+    child is no node do not count.
     """
     read = edges.sparkSession.read
     every = nodes.select(F.col(nodes.columns[0]).alias("node")).distinct()
-    links = edges.select("parent", "child").join(every.withColumnRenamed("node", "child"), "child", "left_semi")
-    total, done, paths = every.count(), 0, []
+    known = edges.select("parent", "child").distinct().join(every.withColumnRenamed("node", "child"), "child", "left_semi")
+    links = read.schema(known.schema).parquet(shared.write(known, "links"))
+    counts = links.groupBy(F.col("parent").alias("node")).agg(F.count("*").alias("open"))
+    state = every.join(counts, "node", "left").select("node", F.coalesce("open", F.lit(0).cast("long")).alias("open"))
     schema = every.withColumn("layer", F.lit(0)).schema
-    while done < total:
-        found = read.schema(schema).parquet(*paths).select("node") if paths else every.limit(0)
-        waiting = links.join(found.withColumnRenamed("node", "child"), "child", "left_anti").select(F.col("parent").alias("node"))
-        ready = every.join(found, "node", "left_anti").join(waiting, "node", "left_anti").withColumn("layer", F.lit(len(paths)))
-        paths.append(shared.write(ready, "layer"))
-        n = read.schema(schema).parquet(paths[-1]).count()
-        if not n:
+    state = read.schema(state.schema).parquet(shared.write(state, "open"))
+    paths: list[str] = []
+    while not state.isEmpty():
+        paths.append(shared.write(state.where("open = 0").select("node", F.lit(len(paths)).alias("layer")), "layer"))
+        front = read.schema(schema).parquet(paths[-1])
+        if front.isEmpty():
             return None
-        done += n
+        freed = links.join(front.select(F.col("node").alias("child")), "child").groupBy(F.col("parent").alias("node")).agg(F.count("*").alias("freed"))
+        rest = state.where("open > 0").join(freed, "node", "left").select("node", (F.col("open") - F.coalesce("freed", F.lit(0).cast("long"))).alias("open"))
+        state = read.schema(state.schema).parquet(shared.write(rest, "open"))
     return read.schema(schema).parquet(*paths) if paths else every.withColumn("layer", F.lit(0))
 
 

@@ -36,6 +36,11 @@ def missing(required: DataFrame, *sets: DataFrame, on: list[str]) -> DataFrame:
     return required
 
 
+def bound(rows: DataFrame, some: DataFrame, on: list[str]) -> DataFrame:
+    """Rows whose key the other side has; each once, however often it has it."""
+    return rows.join(some.select(*on), on, "left_semi")
+
+
 def owner(owned: DataFrame, order: tuple[str, ...] = ("internal", "constant", "output", "input")) -> DataFrame:
     """``(address, series_id, direction)``: the owner by precedence of direction, then by id."""
     rank = F.array_position(F.array(*(F.lit(x) for x in order)), F.col("direction"))

@@ -17,12 +17,15 @@ def _err(v: Column) -> Column:
 def verdict(golden: Column, sut: Column, atol: float = ATOL, rtol: float = RTOL) -> Column:
     """``struct<passed, outcome, matched_error, abs_diff, rel_diff>`` of two spreadsheet values.
 
-    In this order: errors pass if of one class; two blanks pass, one fails; flags by equality;
-    numbers: both NaN pass as a matched error, infinite ones by equality, finite ones by absolute
-    or relative distance; else equality of the texts.
+    In this order: errors pass if of one class; two blanks pass, one fails; two flags by equality;
+    numbers, a flag against a number being one: both NaN pass as a matched error, infinite ones by
+    equality, finite ones by absolute or relative distance; whole numbers beyond a double's range,
+    which are kept as digits, by equality; else equality of the texts.  Matched errors, blanks and
+    NaN pass but are not healthy.
     """
     ge, se = _err(golden), _err(sut)
-    g, s = golden["num"], sut["num"]
+    g, s = (F.coalesce(v["num"], v["bool"].cast("double")) for v in (golden, sut))
+    huge = lambda v: F.coalesce(v["str"].rlike(values.HUGE), F.lit(False))
     gap, rel = F.abs(g - s), values.relative_diff(g, s)
     infinite = lambda x: F.abs(x) == float("inf")
     blank_g, blank_s = values.is_blank(golden), values.is_blank(sut)
@@ -41,6 +44,7 @@ def verdict(golden: Column, sut: Column, atol: float = ATOL, rtol: float = RTOL)
         .when(numbers & (F.isnan(g) | F.isnan(s)), row(F.lit(False), "nan"))
         .when(numbers & (infinite(g) | infinite(s)), row(g == s, "infinite"))
         .when(numbers, row((gap <= atol) | (rel <= rtol), "number", False, gap, rel))
+        .when(huge(golden) & huge(sut), row(exact_integers(golden["str"], sut["str"]), "number"))
         .otherwise(row(golden["str"].eqNullSafe(sut["str"]) & golden["bool"].eqNullSafe(sut["bool"]) & g.eqNullSafe(s), "other"))
     )
 
@@ -60,10 +64,12 @@ def compare(golden: DataFrame, sut: DataFrame, keys: list[str], expected: DataFr
     found = golden.withColumnRenamed("value", "golden").join(sut.withColumnRenamed("value", "sut"), keys, "full_outer")
     fill = lambda c: F.coalesce(F.col(c), values.value()).alias(c)
     found = found.select(*keys, fill("golden"), fill("sut")).withColumn("v", verdict(F.col("golden"), F.col("sut"))).select(*keys, "golden", "sut", "v.*")
+    found = found.withColumn("healthy", F.col("passed") & ~F.col("matched_error") & ~F.col("outcome").isin("matched_blank", "error", "nan"))
     if expected is None:
         return found.withColumn("flagged_matched_error", F.col("matched_error"))
     found = found.join(expected, "scenario_id", "left")
-    return found.withColumn("flagged_matched_error", F.col("matched_error") & ~F.coalesce("expects_error_values", F.lit(False))).drop("expects_error_values")
+    declared = F.coalesce("expects_error_values", F.lit(False))
+    return found.withColumns({"flagged_matched_error": F.col("matched_error") & ~declared, "healthy": F.col("healthy") | (F.col("matched_error") & declared)}).drop("expects_error_values")
 
 
 def crashed(scenario_id: str, cells: DataFrame, message: str, side: str = "sut") -> DataFrame:
@@ -75,11 +81,21 @@ def crashed(scenario_id: str, cells: DataFrame, message: str, side: str = "sut")
 
 def rollup(comparisons: DataFrame) -> DataFrame:
     """Counts in total, per axis, and per axis and point, in one grouping-sets pass."""
-    comparisons.createOrReplaceTempView("__comparisons")
-    return comparisons.sparkSession.sql(
-        "SELECT axis, point, count(*) AS n, count_if(passed) AS n_passed, count_if(matched_error) AS n_matched_error "
-        "FROM __comparisons GROUP BY GROUPING SETS ((axis, point), (axis), ())"
-    )
+    n, passed, errors = F.count("*").alias("n"), F.count_if("passed").alias("n_passed"), F.count_if("matched_error").alias("n_matched_error")
+    axis, point = F.col("axis"), F.col("point")
+    return comparisons.groupingSets([[axis, point], [axis], []], axis, point).agg(n, passed, errors)
+
+
+CSV = ("scenario_id", "axis", "point", "cell", "golden", "sut", "passed", "outcome", "matched_error", "abs_diff", "rel_diff")
+
+
+def csv_rows(comparisons: DataFrame) -> DataFrame:
+    """The comparison report's columns, ``CSV``, values as texts; ``write.csv(header=True)`` makes the file.
+
+    Columns that ``comparisons`` lacks are empty.
+    """
+    text = lambda c: F.coalesce(F.col(c)["err"], F.col(c)["str"], F.col(c)["bool"].cast("string"), values.coerced(F.col(c)["num"])).alias(c)
+    return comparisons.select(*(text(c) if c in ("golden", "sut") else F.col(c) if c in comparisons.columns else F.lit(None).cast("string").alias(c) for c in CSV))
 
 
 def first_divergence(comparisons: DataFrame, order: list[str]) -> DataFrame:

@@ -37,6 +37,11 @@ def last(start: Column, steps: Column) -> Column:
     return F.aggregate(steps, start, lambda d, s: step(d, s["r"], s["g"], s["p"]))
 
 
+def prior(rows: DataFrame, key: str, order: list[str], field: str, out: str = "prior") -> DataFrame:
+    """``rows`` with the field of the period before; null for a key's first."""
+    return rows.withColumn(out, F.lag(field).over(Window.partitionBy(key).orderBy(*order)))
+
+
 def active(periods: Column, threshold: Column) -> Column:
     """One from the threshold period on, zero before."""
     return F.transform(periods, lambda t: F.when(t >= threshold, 1).otherwise(0))

@@ -11,6 +11,8 @@ import json
 import time
 from collections.abc import Callable
 
+from py4j.protocol import Py4JError
+from pyspark.errors import AnalysisException, SparkRuntimeException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -38,6 +40,47 @@ def _shape(schema: StructType) -> str:
     return schema.simpleString()  # names and types: files hold every column as nullable
 
 
+def digests(rows: DataFrame, key: str, *fields: str) -> DataFrame:
+    """``(key, fingerprint)``: the SHA-256 of each key's rows, their fields joined by colons, in order."""
+    parts = F.transform(F.array_sort(F.collect_list(F.struct(*fields))), lambda x: F.concat_ws(":", *(x[f].cast("string") for f in fields)))
+    return rows.groupBy(key).agg(F.sha2(F.array_join(parts, ",").cast("binary"), 256).alias("fingerprint"))
+
+
+def regenerate(builders: dict[str, tuple[str, Callable[[], DataFrame]]], cache: Cache, only: set[str] | None = None) -> dict[str, str]:
+    """Rebuild the entries ``name -> (digest, build)`` that are asked for; what was done for each: ``built`` or ``skipped``."""
+    done = {}
+    for name, (digest, build) in sorted(builders.items()):
+        if only is not None and name not in only:
+            done[name] = "skipped"
+            continue
+        cache.get_or_build(digest, build, rebuild=True)
+        done[name] = "built"
+    return done
+
+
+class Reports:
+    """Parity reports that may be used again: only after exit code 0, with the same key, and not in continuous integration."""
+
+    def __init__(self, load: Callable[[], str | None], save: Callable[[str | None], None], ci: bool = False) -> None:
+        self.load, self.save, self.ci = load, save, ci
+
+    def reusable(self, digest: str) -> bool:
+        try:
+            meta = json.loads(self.load() or "null")
+        except ValueError:
+            return False
+        return not self.ci and isinstance(meta, dict) and meta.get("key") == digest and meta.get("exit_code") == 0 and meta.get("version") == VERSION
+
+    def run(self, digest: str, compare: Callable[[], int]) -> tuple[int, bool]:
+        """Exit code, and whether it is that of a run before.  What was saved is forgotten before a run, so one that breaks off leaves nothing."""
+        if self.reusable(digest):
+            return 0, True
+        self.save(None)
+        code = compare()
+        self.save(stable_json({"key": digest, "exit_code": code, "version": VERSION}))
+        return code, False
+
+
 class Cache:
     """Tables in ``folder`` by digest."""
 
@@ -47,15 +90,19 @@ class Cache:
         self._path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-    def get_or_build(self, digest: str, build: Callable[[], DataFrame], *, no_cache: bool = False, rebuild: bool = False, shape: StructType | None = None) -> DataFrame:
-        """The entry, made by ``build`` if it is absent, broken or, where ``shape`` gives the schema expected, of another shape."""
+    def get_or_build(self, digest: str, build: Callable[[], DataFrame], *, no_cache: bool = False, rebuild: bool = False, shape: StructType | None = None, verify: bool = False) -> DataFrame:
+        """The entry, made by ``build`` if it is absent, its footers are broken or, where ``shape`` gives the schema expected, it is of another shape.
+
+        ``verify`` reads all of it once, so that a broken data page counts, too.
+        """
         if no_cache:
             return build()
         made = None
         if not rebuild and self._fs.exists(self._path(f"{self.folder}/{digest}/_SUCCESS")):
             try:
                 found = self.spark.read.parquet(f"{self.folder}/{digest}")
-            except Exception:  # an entry that cannot be read is no entry
+                found.write.format("noop").mode("overwrite").save() if verify else None
+            except (AnalysisException, Py4JError, SparkRuntimeException):  # an entry that cannot be read is no entry
                 found = None
             if found is not None and (shape is None or _shape(found.schema) == _shape(shape)):
                 return found

@@ -64,9 +64,60 @@ def long(evaluated: DataFrame) -> DataFrame:
 
 
 def flat(evaluated: DataFrame) -> DataFrame:
-    """``(scenario_id, json)``: all outputs as one JSON map, keys sorted, whole numbers without a fraction; errors by class."""
-    entry = lambda o: F.transform(F.col(o), lambda v, k: F.struct(F.concat(F.lit(f"output_{o}["), (k + 1).cast("string"), F.lit("]")).alias("key"), F.coalesce(v["err"], values.coerced(v["num"])).alias("value")))
-    return evaluated.select("scenario_id", F.to_json(F.map_from_entries(F.array_sort(F.concat(*(entry(o) for o in OUTPUTS))))).alias("json"))
+    """``(scenario_id, json)``: all outputs as one JSON object, keys sorted, numbers as JSON numbers, errors as texts.
+
+    Whole numbers have no fraction.  JSON has no NaN and no infinity: such a number is an error.
+    """
+    odd = lambda x: F.isnan(x) | (F.abs(x) == float("inf"))
+    number = lambda x: F.when(odd(x), F.raise_error(F.lit("a number is not finite"))).otherwise(values.coerced(x))
+    quoted = lambda x: F.concat(F.lit('"'), x, F.lit('"'))
+    entry = lambda o: F.transform(F.col(o), lambda v, k: F.concat(quoted(F.concat(F.lit(f"output_{o}["), (k + 1).cast("string"), F.lit("]"))), F.lit(":"), F.coalesce(quoted(v["err"]), number(v["num"]), F.lit("null"))))
+    return evaluated.select("scenario_id", F.concat(F.lit("{"), F.array_join(F.array_sort(F.concat(*(entry(o) for o in OUTPUTS))), ","), F.lit("}")).alias("json"))
+
+
+def given(body, schema: str):
+    """Fields of a JSON request; null where it has none or is no JSON."""
+    return F.from_json(body, schema)
+
+
+def sheet_cells() -> dict[str, object]:
+    """The model as cells of a workbook: formulas as texts, inputs at their defaults."""
+    from .scenarios import BALANCE, GROWTH, INTEREST, MAGNITUDES, SHOCK_TYPE, SHOCK_YEAR
+
+    cells: dict[str, object] = {"Inputs!B5": next(iter(COUNTRIES)), "Inputs!B6": "=INDEX($A$10:$C$12,MATCH($B$5,$A$10:$A$12,0),2)", "Inputs!B21": SHOCK_YEAR, "Inputs!B22": SHOCK_TYPE}
+    for k, (name, debt) in enumerate(COUNTRIES.items(), 10):
+        cells |= {f"Inputs!A{k}": name, f"Inputs!B{k}": debt}
+    cells |= {f"Inputs!{c}26": m for c, m in zip("BCD", MAGNITUDES, strict=True)}
+    cells |= {"Engine!B6": "=Inputs!B6", "Engine!B20": "=Inputs!B6", "Engine!B9": "=OFFSET(Inputs!$B$26,0,Inputs!$B$22-1)"}
+    for k, c in enumerate("CDEFG"):
+        before, out = chr(ord(c) - 1), chr(ord(c) - 1)
+        cells |= {f"Inputs!{c}16": GROWTH[k], f"Inputs!{c}17": INTEREST[k], f"Inputs!{c}18": BALANCE[k], f"Engine!{c}5": k + 1}
+        cells[f"Engine!{c}6"] = f"={before}6*(1+Inputs!{c}17/100)/(1+Inputs!{c}16/100)-Inputs!{c}18"
+        cells[f"Engine!{c}10"] = f"=IF({c}5>=Inputs!$B$21,1,0)"
+        for row, source, options in ((14, 16, "$B$9,0,0"), (15, 17, "0,$B$9,0"), (16, 18, "0,0,$B$9")):
+            cells[f"Engine!{c}{row}"] = f"=Inputs!{c}{source}+CHOOSE(Inputs!$B$22,{options})*{c}10"
+        cells[f"Engine!{c}20"] = f"={before}20*(1+{c}15/100)/(1+{c}14/100)-{c}16"
+        cells |= {f"Outputs!{out}12": f"=Engine!{c}6", f"Outputs!{out}13": f"=Engine!{c}20", f"Outputs!{out}14": f"={out}13-{out}12"}
+    return cells
+
+
+TARGETS = tuple(f"Outputs!{c}{row}" for row in (12, 13, 14) for c in "BCDEF")
+
+
+def bootstrap(spark) -> dict[str, object]:
+    """What a viewer starts from: axes, defaults, nodes, edges and the values of the defaults."""
+    from ..operators import formula
+    from .scenarios import PARAMETERS, SHOCKS, defaults
+
+    of = formula.book(sheet_cells(), domains={"Inputs!B22": [1, 2, 3]})
+    nodes, edges = formula.graph(of, TARGETS)
+    start = defaults(spark)
+    row = flat(evaluate(start)).first()
+    given = start.drop("scenario_id", "grp", "axis", "point", "expects_error_values").first().asDict()
+    return {
+        "axes": {"TIME_PERIOD": list(range(1, PERIODS + 1)), "COUNTRY": list(COUNTRIES), "SHOCK_PARAMETER": list(PARAMETERS), "SHOCK": list(SHOCKS)},
+        "defaults": given, "nodes": [formula.address(n) for n in nodes], "edges": [[formula.address(p), formula.address(c)] for p, c, _ in edges], "values": row["json"],
+    }
 
 
 def normalised(requests: DataFrame, default: dict[str, str]) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import address, values
-from ..operators import audit, bindings, graph, lookups, parity, recurrence
+from ..operators import audit, bindings, graph, lookups, parity, recurrence, series
 from . import model, scenarios
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,11 +30,17 @@ def _query(sql: str | None) -> Callable[[Query], Query]:
     return add
 
 
+def _load() -> None:
+    from . import operator_queries  # noqa: F401  (it registers its queries)
+
+
 def queries() -> dict[str, Query]:
+    _load()
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _load()
     return dict(_SQL)
 
 
@@ -101,8 +107,8 @@ def threshold_activation(spark, sf_dir):
 
 @_query("SELECT o_orderkey AS orderkey, lag(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey, o_totalprice) AS prior FROM orders")
 def prior_period(spark, sf_dir):
-    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey", "o_totalprice")
-    return _t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("orderkey"), F.lag("o_totalprice").over(w).alias("prior"))
+    found = recurrence.prior(_t(spark, sf_dir, "orders"), "o_custkey", ["o_orderdate", "o_orderkey", "o_totalprice"], "o_totalprice")
+    return found.select(F.col("o_orderkey").alias("orderkey"), "prior")
 
 
 # --- the model ---------------------------------------------------------------------------------
@@ -135,7 +141,26 @@ def model_sweep(spark, sf_dir):
     return model.long(model.evaluate(sweep)).select("scenario_id", "cell", F.col("value.num").alias("num"))
 
 
-@_query(None)
+def _errors_sql() -> str:
+    """The scenarios that end in errors, by hand: what each changes of the defaults."""
+    g, r, p = [3.5] * 5, [4.0] * 5, [-1.0, -0.5, 0.0, 0.5, 1.0]
+    odd = [
+        ("unknown_country", "NULL", 1, 2, g, r, p), ("trailing_space", "NULL", 1, 2, g, r, p), ("shock_type_0", "60", 0, 2, g, r, p), ("shock_type_4", "60", 4, 2, g, r, p), ("shock_year_0", "60", 1, 0, g, r, p),
+        ("shock_year_6", "60", 1, 6, g, r, p), ("shock_year_2.5", "60", 1, 2.5, g, r, p), ("growth_minus_100", "60", 1, 2, [3.5, 3.5, -100.0, 3.5, 3.5], r, p), ("blank_input", "60", 1, 2, g, [0.0, 4.0, 4.0, 4.0, 4.0], p),
+        ("nan", "60", 1, 2, g, r, [0.0, "nan", 0.0, 0.0, 0.0]), ("infinite", "60", 1, 2, g, r, [0.0, "inf", 0.0, 0.0, 0.0]),
+    ]
+    rows = ", ".join(f"('error:{name}', {debt}::DOUBLE, {kind}, {year}::DOUBLE, {t + 1}, '{a[t]}'::DOUBLE, '{b[t]}'::DOUBLE, '{c[t]}'::DOUBLE)" for name, debt, kind, year, a, b, c in odd for t in range(5))
+    on = "CASE WHEN t >= y THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END"
+    return f"""WITH RECURSIVE q(id, debt, kind, y, t, g, r, p) AS (VALUES {rows}),
+x AS (SELECT id, t, g, r, p, g + CASE kind WHEN 1 THEN -2.0::DOUBLE ELSE 0.0::DOUBLE END * {on} AS g1, r, p FROM q),
+w AS (SELECT DISTINCT id, 0 AS t, debt AS b, debt AS s, CASE WHEN debt IS NULL THEN '#N/A' END AS be, CASE WHEN debt IS NULL THEN '#N/A' WHEN kind NOT BETWEEN 1 AND 3 THEN '#VALUE!' END AS se FROM q
+UNION ALL SELECT w.id, x.t, CASE WHEN x.g = -100 THEN NULL ELSE w.b * (1.0::DOUBLE + x.r / 100.0::DOUBLE) / (1.0::DOUBLE + x.g / 100.0::DOUBLE) - x.p END, CASE WHEN x.g1 = -100 THEN NULL ELSE w.s * (1.0::DOUBLE + x.r / 100.0::DOUBLE) / (1.0::DOUBLE + x.g1 / 100.0::DOUBLE) - x.p END,
+coalesce(w.be, CASE WHEN x.g = -100 THEN '#DIV/0!' END), coalesce(w.se, CASE WHEN x.g1 = -100 THEN '#DIV/0!' END) FROM w JOIN x ON x.id = w.id AND x.t = w.t + 1)
+SELECT id AS scenario_id, 'output_' || o.name || '[' || t || ']' AS cell, CASE o.name WHEN 'baseline' THEN CASE WHEN be IS NULL THEN b END WHEN 'shocked' THEN CASE WHEN se IS NULL THEN s END ELSE CASE WHEN be IS NULL AND se IS NULL THEN s - b END END AS num,
+CASE o.name WHEN 'baseline' THEN be WHEN 'shocked' THEN se ELSE coalesce(se, be) END AS err FROM w, (VALUES ('baseline'), ('shocked'), ('delta')) AS o(name) WHERE t > 0"""
+
+
+@_query(_errors_sql())
 def model_errors(spark, sf_dir):
     """The scenarios that end in error values or odd numbers."""
     sweep = scenarios.sweep(spark).where("grp = 'error'")
@@ -147,7 +172,7 @@ def scenario_factorial(spark, sf_dir):
     region = _t(spark, sf_dir, "region").select(F.col("r_name").alias("region"))
     segment = _t(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("segment")).distinct()
     five = F.explode(F.sequence(F.lit(1), F.lit(5))).alias("k")
-    return region.crossJoin(F.broadcast(segment)).select("region", "segment", five)  # the axes of a design: a few values each
+    return region.crossJoin(segment).select("region", "segment", five)  # the axes of a design: a few values each
 
 
 @_query("SELECT n_name AS country, 'growth[' || y || ']=' || CASE WHEN x >= 0 THEN '+' ELSE '-' END || abs(x)::DECIMAL(3,1)::VARCHAR AS point, x::DOUBLE AS x FROM nation, (VALUES (1), (3), (5)) AS a(y), (VALUES (0.0), (1.5), (3.5), (-2.0)) AS b(x)")
@@ -208,7 +233,7 @@ def sparse_overlay(spark, sf_dir):
 
 @_query("SELECT c_custkey AS custkey, [CASE WHEN c_custkey % 3 = 0 THEN 9.0::DOUBLE ELSE c_acctbal END, CASE WHEN c_custkey % 3 = 1 THEN 9.0::DOUBLE ELSE c_acctbal END]::VARCHAR IS NOT NULL AS whole, CASE WHEN c_custkey % 3 = 0 THEN 9.0::DOUBLE ELSE c_acctbal END AS first FROM customer")
 def override_element(spark, sf_dir):
-    arr = F.transform(F.array("c_acctbal", "c_acctbal"), lambda x, k: F.when(k == F.col("c_custkey") % 3, 9.0).otherwise(x))
+    arr = series.overridden(F.array("c_acctbal", "c_acctbal"), F.col("c_custkey") % 3, F.lit(9.0))
     return _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("custkey"), arr.isNotNull().alias("whole"), F.get(arr, F.lit(0)).alias("first"))
 
 
@@ -260,36 +285,34 @@ def parity_topk_failures(spark, sf_dir):
 # --- keyed matching ----------------------------------------------------------------------------
 
 
-@_query("SELECT c_custkey AS custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)")
+@_query("SELECT c_custkey AS custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderkey % 40 = 0)")
 def anti_unbound(spark, sf_dir):
-    return lookups.missing(_t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("custkey")), _t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("custkey")), on=["custkey"])
+    """Customers that no order binds; only an order whose number ends a block of forty does, so both sides have rows."""
+    asked = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("custkey"))
+    return lookups.missing(asked, _t(spark, sf_dir, "orders").select(F.when(F.col("o_orderkey") % 40 == 0, F.col("o_custkey")).alias("custkey")), on=["custkey"])
 
 
 @_query("SELECT c_custkey AS custkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 200000)")
 def semi_bound(spark, sf_dir):
     rich = _t(spark, sf_dir, "orders").where("o_totalprice > 200000").select(F.col("o_custkey").alias("custkey"))
-    return _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("custkey")).join(rich, "custkey", "left_semi")
-
-
-@_query("(SELECT c_nationkey AS k, 'left' AS side FROM (SELECT DISTINCT c_nationkey FROM customer WHERE c_custkey % 50 < 20 EXCEPT SELECT s_nationkey FROM supplier)) UNION ALL (SELECT s_nationkey, 'right' FROM (SELECT DISTINCT s_nationkey FROM supplier EXCEPT SELECT c_nationkey FROM customer WHERE c_custkey % 50 < 20))")
-def set_diff_keys(spark, sf_dir):
-    a = _t(spark, sf_dir, "customer").where("c_custkey % 50 < 20").select(F.col("c_nationkey").alias("k")).distinct()
-    return lookups.set_difference(a, _t(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("k")).distinct())
+    return lookups.bound(_t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("custkey")), rich, ["custkey"])
 
 
 @_query("(SELECT c_nationkey + 25 * c_custkey AS k, 'left' AS side FROM customer EXCEPT SELECT s_nationkey + 25 * s_suppkey, 'left' FROM supplier) UNION ALL (SELECT s_nationkey + 25 * s_suppkey, 'right' FROM supplier EXCEPT SELECT c_nationkey + 25 * c_custkey, 'right' FROM customer)")
-def set_diff_keys_whole(spark, sf_dir):
+def set_diff_keys(spark, sf_dir):
     """All customers and suppliers; a key is shared where the same number has the same nation."""
     a = _t(spark, sf_dir, "customer").select((F.col("c_nationkey") + 25 * F.col("c_custkey")).alias("k")).distinct()
     return lookups.set_difference(a, _t(spark, sf_dir, "supplier").select((F.col("s_nationkey") + 25 * F.col("s_suppkey")).alias("k")).distinct())
 
 
-_OWNED_SQL = "SELECT c_nationkey AS address, c_name AS series_id, CASE c_custkey % 4 WHEN 0 THEN 'input' WHEN 1 THEN 'output' WHEN 2 THEN 'constant' ELSE 'internal' END AS direction FROM customer WHERE c_acctbal > 5000"
+_OWNED_SQL = "SELECT c_nationkey + 25 * (c_custkey // 60) AS address, c_name AS series_id, CASE c_custkey % 4 WHEN 0 THEN 'input' WHEN 1 THEN 'output' WHEN 2 THEN 'constant' ELSE 'internal' END AS direction FROM customer"
 
 
 def _owned(spark, sf_dir):
+    """All customers, a few to an address: a nation among 60 customers."""
     direction = F.get(F.array(*(F.lit(d) for d in ("input", "output", "constant", "internal"))), (F.col("c_custkey") % 4).cast("int"))
-    return _t(spark, sf_dir, "customer").where("c_acctbal > 5000").select(F.col("c_nationkey").alias("address"), F.col("c_name").alias("series_id"), direction.alias("direction"))
+    place = F.col("c_nationkey") + 25 * F.floor(F.col("c_custkey") / 60)
+    return _t(spark, sf_dir, "customer").select(place.alias("address"), F.col("c_name").alias("series_id"), direction.alias("direction"))
 
 
 @_query(f"SELECT address, series_id, direction FROM (SELECT *, row_number() OVER (PARTITION BY address ORDER BY list_position(['internal', 'constant', 'output', 'input'], direction), series_id) AS n FROM ({_OWNED_SQL})) WHERE n = 1")
@@ -302,26 +325,6 @@ def owner_contested(spark, sf_dir):
     return lookups.contested(_owned(spark, sf_dir))
 
 
-_OWNED_WHOLE_SQL = "SELECT c_nationkey + 25 * (c_custkey // 60) AS address, c_name AS series_id, CASE c_custkey % 4 WHEN 0 THEN 'input' WHEN 1 THEN 'output' WHEN 2 THEN 'constant' ELSE 'internal' END AS direction FROM customer"
-
-
-def _owned_whole(spark, sf_dir):
-    """All customers, a few to an address: a nation among 60 customers."""
-    direction = F.get(F.array(*(F.lit(d) for d in ("input", "output", "constant", "internal"))), (F.col("c_custkey") % 4).cast("int"))
-    place = F.col("c_nationkey") + 25 * F.floor(F.col("c_custkey") / 60)
-    return _t(spark, sf_dir, "customer").select(place.alias("address"), F.col("c_name").alias("series_id"), direction.alias("direction"))
-
-
-@_query(f"SELECT address, series_id, direction FROM (SELECT *, row_number() OVER (PARTITION BY address ORDER BY list_position(['internal', 'constant', 'output', 'input'], direction), series_id) AS n FROM ({_OWNED_WHOLE_SQL})) WHERE n = 1")
-def owner_precedence_whole(spark, sf_dir):
-    return lookups.owner(_owned_whole(spark, sf_dir))
-
-
-@_query(f"SELECT address, direction, count(DISTINCT series_id) AS n FROM ({_OWNED_WHOLE_SQL}) GROUP BY ALL HAVING count(DISTINCT series_id) > 1")
-def owner_contested_whole(spark, sf_dir):
-    return lookups.contested(_owned_whole(spark, sf_dir))
-
-
 @_query("SELECT p_brand AS brand, p_size AS size, CASE WHEN count(*) OVER (PARTITION BY p_brand, p_size) = 1 THEN p_name END AS spec FROM part")
 def ambiguous_null(spark, sf_dir):
     rows = _t(spark, sf_dir, "part").select(F.col("p_brand").alias("brand"), F.col("p_size").alias("size"), F.col("p_name").alias("spec"))
@@ -401,22 +404,6 @@ def islands(spark, sf_dir):
 
 
 _RECT_SQL = """
-WITH c AS (SELECT DISTINCT l_returnflag AS flag, (l_suppkey // 4)::BIGINT AS r, (l_suppkey % 4 + 1)::BIGINT AS c FROM lineitem WHERE l_quantity > 49 AND l_suppkey % 7 <> 0),
-s AS (SELECT flag, r, min(c) AS c1, max(c) AS c2 FROM (SELECT *, c - row_number() OVER (PARTITION BY flag, r ORDER BY c) AS i FROM c) GROUP BY flag, r, i),
-g AS (SELECT flag, r, string_agg(c1 || '-' || c2, ',' ORDER BY c1) AS sig FROM s GROUP BY flag, r),
-m AS (SELECT flag, sig, min(r) AS r1, max(r) AS r2 FROM (SELECT *, r - row_number() OVER (PARTITION BY flag, sig ORDER BY r) AS i FROM g) GROUP BY flag, sig, i)
-SELECT DISTINCT m.flag, r1, c1, r2, c2 FROM m JOIN s ON s.flag = m.flag AND s.r = m.r1
-"""
-
-
-@_query(_RECT_SQL)
-def rectangles(spark, sf_dir):
-    rows = _t(spark, sf_dir, "lineitem").where("l_quantity > 49 AND l_suppkey % 7 <> 0")
-    cells = rows.select(F.col("l_returnflag").alias("flag"), F.floor(F.col("l_suppkey") / 4).alias("row"), (F.col("l_suppkey") % 4 + 1).alias("col"))
-    return bindings.rectangles(cells, ["flag"]).select("flag", "r1", "c1", "r2", "c2")
-
-
-_RECT_WHOLE_SQL = """
 WITH c AS (SELECT DISTINCT l_suppkey AS sheet, (l_orderkey % 401)::BIGINT AS r, (l_linenumber % 3 + 1)::BIGINT AS c FROM lineitem),
 s AS (SELECT sheet, r, min(c) AS c1, max(c) AS c2 FROM (SELECT *, c - row_number() OVER (PARTITION BY sheet, r ORDER BY c) AS i FROM c) GROUP BY sheet, r, i),
 g AS (SELECT sheet, r, string_agg(c1 || '-' || c2, ',' ORDER BY c1) AS sig FROM s GROUP BY sheet, r),
@@ -425,8 +412,8 @@ SELECT m.sheet, r1, c1, r2, c2 FROM m JOIN s ON s.sheet = m.sheet AND s.r = m.r1
 """
 
 
-@_query(_RECT_WHOLE_SQL)
-def rectangles_whole(spark, sf_dir):
+@_query(_RECT_SQL)
+def rectangles(spark, sf_dir):
     """All of lineitem, a sheet for each supplier, where cells are spread by order and line and leave gaps."""
     cells = _t(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("sheet"), (F.col("l_orderkey") % 401).alias("row"), (F.col("l_linenumber") % 3 + 1).alias("col"))
     return bindings.rectangles(cells, ["sheet"]).select("sheet", "r1", "c1", "r2", "c2")
@@ -464,29 +451,21 @@ def range_expand(spark, sf_dir):
 @_query("SELECT p_partkey AS partkey, CASE WHEN p_partkey % 3 = 0 THEN p_brand WHEN p_partkey % 3 = 1 THEN trim(p_brand) END AS label, CASE WHEN p_partkey % 3 = 2 THEN 'unknown' END AS err FROM part")
 def label_resolve(spark, sf_dir):
     wanted = F.when(F.col("p_partkey") % 3 == 0, F.col("p_brand")).when(F.col("p_partkey") % 3 == 1, F.concat(F.lit(" "), "p_brand", F.lit("  "))).otherwise("nowhere")
-    brands = _t(spark, sf_dir, "part").agg(F.array_sort(F.collect_set("p_brand")).alias("choices"))  # one row with every brand
-    return _t(spark, sf_dir, "part").crossJoin(F.broadcast(brands)).select(F.col("p_partkey").alias("partkey"), address.resolved_label(wanted, F.col("choices")).alias("x")).select("partkey", "x.*")
+    part = _t(spark, sf_dir, "part").select(F.col("p_partkey").alias("partkey"), wanted.alias("wanted"))
+    return address.resolved_labels(part, "wanted", _t(spark, sf_dir, "part").select(F.col("p_brand").alias("choice"))).select("partkey", "label", "err")
 
 
 # --- audit -------------------------------------------------------------------------------------
 
 
-@_query(r"SELECT f AS function, count(*) AS n_calls, count(DISTINCT id) AS n_formulas, f IN ('OFFSET','INDEX','MATCH','CHOOSE','INDIRECT','XLOOKUP','HLOOKUP','VLOOKUP','LOOKUP') AS dynamic FROM (SELECT doc_id AS id, unnest(regexp_extract_all(upper('=' || split_part(text, ' ', 1) || '(INDEX(' || split_part(text, ' ', 2) || '(A1))'), '([A-Z][A-Z0-9_.]*)\(', 1)) AS f FROM documents WHERE regexp_matches(text, '^[\x20-\x7e]*$')) GROUP BY f")
-def function_calls(spark, sf_dir):
-    word = lambda k: F.split_part("text", F.lit(" "), F.lit(k))
-    formula = F.concat(F.lit("="), word(1), F.lit("(INDEX("), word(2), F.lit("(A1))"))
-    docs = _t(spark, sf_dir, "documents").where(F.col("text").rlike(r"^[\x20-\x7e]*$")).select(F.col("doc_id").alias("id"), formula.alias("formula"))
-    return audit.function_calls(docs)
-
-
 # Upper case as Spark has it: DuckDB maps a letter to one letter, these become more, of A-Z among others.
 _UPPER_SQL = "formula"
 for _c in "ßŉǰẖẗẘẙẚﬀﬁﬂﬃﬄﬅﬆ":
     _UPPER_SQL = f"replace({_UPPER_SQL}, '{_c}', '{_c.upper()}')"
 
 
-@_query(rf"SELECT f AS function, count(*) AS n_calls, count(DISTINCT id) AS n_formulas, f IN ('OFFSET','INDEX','MATCH','CHOOSE','INDIRECT','XLOOKUP','HLOOKUP','VLOOKUP','LOOKUP') AS dynamic FROM (SELECT id, unnest(regexp_extract_all(upper({_UPPER_SQL}), '([A-Z][A-Z0-9_.]*)\(', 1)) AS f FROM (SELECT doc_id AS id, translate(text, chr(32) || chr(9) || chr(10), '(((') AS formula FROM documents)) GROUP BY f")
-def function_calls_whole(spark, sf_dir):
+@_query(rf"SELECT f AS function, count(*) AS n_calls, count(DISTINCT id) AS n_formulas, f IN ('OFFSET','INDEX','MATCH','CHOOSE','INDIRECT','XLOOKUP','HLOOKUP','VLOOKUP','LOOKUP') AS dynamic FROM (SELECT id, unnest(regexp_extract_all(replace(upper({_UPPER_SQL}), '(', '( '), '(?:^|[^A-Z0-9_])([A-Z][A-Z0-9_.]*)\(', 1)) AS f FROM (SELECT doc_id AS id, translate(text, chr(32) || chr(9) || chr(10), '(((') AS formula FROM documents)) GROUP BY f")
+def function_calls(spark, sf_dir):
     """Every document as a formula of its whole text, where a word before a space, tab or line break is a call."""
     docs = _t(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.translate("text", " \t\n", "(((").alias("formula"))
     return audit.function_calls(docs)
@@ -521,13 +500,14 @@ def latest_outcome(spark, sf_dir):
 
 @_query("SELECT event_id, CAST(json_extract(props, '$.k') AS INT) AS k FROM events")
 def json_flatten(spark, sf_dir):
-    return _t(spark, sf_dir, "events").select("event_id", F.from_json("props", "k int")["k"].alias("k"))
+    return _t(spark, sf_dir, "events").select("event_id", model.given(F.col("props"), "k int")["k"].alias("k"))
 
 
 @_query("SELECT o_custkey AS custkey, sha256(string_agg(o_orderkey::VARCHAR || ':' || o_orderpriority, ',' ORDER BY o_orderkey, o_orderpriority)) AS fingerprint FROM orders GROUP BY o_custkey")
 def fingerprint(spark, sf_dir):
-    parts = F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", "o_orderpriority"))), lambda x: F.concat_ws(":", x["o_orderkey"].cast("string"), x["o_orderpriority"]))
-    return _t(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("custkey")).agg(F.sha2(F.array_join(parts, ",").cast("binary"), 256).alias("fingerprint"))
+    from . import cache
+
+    return cache.digests(_t(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "custkey"), "custkey", "o_orderkey", "o_orderpriority")
 
 
 @_query("SELECT c_custkey AS custkey FROM customer ORDER BY c_custkey % 97 <> 0, md5('0:' || c_custkey::VARCHAR), c_custkey LIMIT 40")

@@ -16,6 +16,8 @@ from xml.etree import ElementTree
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import formula
+
 CELLS = "path string, sheet string, row int, col int, address string, kind string, num double, str string, bool boolean, err string, formula string"
 NAMES = "path string, name string, target string, external boolean, broken boolean"
 SHEETS = "path string, sheet string, state string, sheet_type string"
@@ -33,6 +35,11 @@ def _column(letters: str) -> int:
     return n
 
 
+def rendered(sheet: str, row: int, col: int) -> str:
+    """The spelling that ``functions.address.rendered`` gives."""
+    return formula.address((sheet, row, col))
+
+
 class Package:
     """The parts of one workbook."""
 
@@ -97,7 +104,7 @@ class Package:
         elif raw is not None:
             num = float(raw)
         what = "formula" if formula is not None else "error" if err else "blank" if num is None and not text and flag is None else "value"
-        return sheet, row, col, f"{sheet}!{address}", what, num, text, flag, err, f"={formula}" if formula is not None else None
+        return sheet, row, col, rendered(sheet, row, col), what, num, text, flag, err, f"={formula}" if formula is not None else None
 
 
 def moved(formula: str, rows: int, cols: int) -> str:
@@ -160,33 +167,52 @@ def parts(spark: SparkSession, path: str) -> DataFrame:
     return _read(spark, path, PARTS, lambda p: p.parts())
 
 
-_TOKEN = re.compile(r"\"(?:[^\"]|\"\")*\"|(?:(?:'((?:[^']|'')+)'|([A-Za-z0-9_.]+))!)?\$?([A-Za-z]{1,3})\$?([0-9]{1,7})(?::\$?([A-Za-z]{1,3})\$?([0-9]{1,7}))?(?![A-Za-z0-9_(.])")
-
-
-def references(formula: str, sheet: str) -> list[tuple[str, int, int, int, int]]:
-    """Ranges that a formula names: sheet and corners, once each, in order."""
-    found = {}
-    for m in _TOKEN.finditer(formula):
-        if m[3] and not (m.start() and re.match(r"[A-Za-z0-9_.$]", formula[m.start() - 1])):
-            c1, r1 = _column(m[3].upper()), int(m[4])
-            c2, r2 = (_column(m[5].upper()), int(m[6])) if m[5] else (c1, r1)
-            found[((m[1] or "").replace("''", "'") or m[2] or sheet, min(r1, r2), min(c1, c2), max(r1, r2), max(c1, c2))] = None
-    return list(found)
-
+def references(text: str, sheet: str, of: formula.Book | None = None) -> list[tuple[str, int, int]]:
+    """Cells that a formula depends on, in order: names, whole rows and columns and dynamic references are followed.
+
+    A formula that cannot be read depends on nothing.
+    """
+    of = of or formula.Book({}, {}, {}, {})
+    try:
+        return sorted(formula.reads(formula.parse(text, sheet), of))
+    except ValueError:
+        return []
+
+
+def books(cells_: DataFrame, names: DataFrame | None = None, domains: dict[str, list[float]] | None = None) -> dict[str, formula.Book]:
+    """The workbooks of ``cells_`` by path, for the driver: a workbook's cells are a plan and must fit there."""
+    found: dict[str, dict] = {}
+    for r in cells_.toLocalIterator():
+        what = r["formula"] or (r["num"] if r["num"] is not None else r["bool"] if r["bool"] is not None else r["err"] or r["str"])
+        found.setdefault(r["path"], {})[r["address"]] = what
+    named: dict[str, dict] = {}
+    for r in names.where("NOT external AND NOT broken").collect() if names is not None else ():
+        named.setdefault(r["path"], {})[r["name"]] = r["target"]
+    return {path: formula.book(some, named.get(path), domains) for path, some in found.items()}
+
+
+def edges(cells_: DataFrame, names: DataFrame | None = None) -> DataFrame:
+    """``(parent, child)`` of the formulas of ``cells_``: one edge for each cell that a formula depends on.
+
+    Formulas are parsed by the tasks that hold them; a workbook's used cells and ``names`` (as of
+    :func:`named_ranges`) are sent along by path, so whole columns and named ranges give edges, too.
+    """
+    places = cells_.groupBy("path").agg(F.collect_list(F.struct("sheet", "row", "col")).alias("used"))
+    formulas = cells_.where("formula IS NOT NULL").groupBy("path").agg(F.collect_list(F.struct("address", "sheet", "formula")).alias("formulas"))
+    both = formulas.join(places, "path")
+    if names is not None:
+        both = both.join(names.where("NOT external AND NOT broken").groupBy("path").agg(F.collect_list(F.struct("name", "target")).alias("names")), "path", "left")
+    else:
+        both = both.withColumn("names", F.lit(None).cast("array<struct<name:string,target:string>>"))
 
-def edges(cells_: DataFrame) -> DataFrame:
-    """``(parent, child)`` of the formulas of ``cells_``: one edge for each cell that a formula names."""
-    from ..functions import address
-
-    spark_type = "array<struct<sheet:string,r1:int,c1:int,r2:int,c2:int>>"
-
-    @F.pandas_udf(spark_type)
-    def refs(formula, sheet):
+    def run(batches: Iterator) -> Iterator:
         import pandas as pd
 
-        return pd.Series([[dict(zip(("sheet", "r1", "c1", "r2", "c2"), r, strict=True)) for r in references(f, s)] for f, s in zip(formula, sheet, strict=True)])
+        for batch in batches:
+            for used, some, named in zip(batch["used"], batch["formulas"], batch["names"], strict=True):
+                of = formula.book({}, {n["name"]: n["target"] for n in named} if named is not None else {})
+                of.literals.update(dict.fromkeys((u["sheet"], u["row"], u["col"]) for u in used))
+                rows = [(f["address"], formula.address(c)) for f in some for c in references(f["formula"], f["sheet"], of)]
+                yield pd.DataFrame(rows, columns=["parent", "child"])
 
-    formulas = cells_.where("formula IS NOT NULL").select(F.col("address").alias("parent"), "sheet", "formula")
-    found = formulas.select("parent", F.explode(refs("formula", "sheet")).alias("x")).select("parent", "x.*")
-    found = found.withColumn("row", F.explode(F.sequence("r1", "r2"))).withColumn("col", F.explode(F.sequence("c1", "c2")))
-    return found.select("parent", F.concat("sheet", F.lit("!"), address.column_letters(F.col("col")), F.col("row").cast("string")).alias("child")).distinct()
+    return both.select("used", "formulas", "names").mapInPandas(run, "parent string, child string").distinct()

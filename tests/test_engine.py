@@ -1,3 +1,4 @@
+import json
 import math
 import zipfile
 
@@ -230,7 +231,12 @@ def test_requests(spark):
     rows = spark.createDataFrame([(1, '{"b":"9","x":"1"}'), (2, None)], "id int, body string")
     got = {r["id"]: r for r in model.normalised(rows, {"a": "1", "b": "2"}).collect()}
     assert got[1]["inputs"] == {"a": "1", "b": "9"} and got[1]["unknown"] == ["x"] and got[2]["inputs"] == {"a": "1", "b": "2"}
-    assert '"output_baseline[1]":"61.28985507246378"' in model.flat(model.evaluate(scenarios.defaults(spark))).first()["json"]
+    flat = json.loads(model.flat(model.evaluate(scenarios.defaults(spark))).first()["json"])
+    assert flat["output_baseline[1]"] == 61.28985507246378 and len(flat) == 15
+    odd = model.flat(model.evaluate(scenarios.sweep(spark).where("point = 'unknown_country'"))).first()["json"]
+    assert json.loads(odd)["output_delta[5]"] == "#N/A"
+    with pytest.raises(Exception, match="not finite"):
+        model.flat(model.evaluate(scenarios.sweep(spark).where("point = 'nan'"))).collect()
 
 
 def streamed(spark, out, mode, name):
