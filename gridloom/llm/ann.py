@@ -33,7 +33,7 @@ from .vectors import matrix, usable
 
 K = 20
 #: Vectors of a shard, about; out-edges of a point; beams of the build and of the search.
-SHARD, DEGREE, BUILD_BEAM, SEARCH_BEAM, ALPHA = 16384, 32, 48, 48, 1.15
+SHARD, DEGREE, BUILD_BEAM, SEARCH_BEAM, ALPHA = 8192, 32, 48, 80, 1.15
 #: Powers of two that the norms of a shard span.
 BAND = 4
 #: Points or queries that walk the graph at once.
