@@ -170,6 +170,23 @@ def gate(unbound: DataFrame, policy: str = "error") -> str | None:
     return text
 
 
+def compute_clashes(series: DataFrame, keys: DataFrame) -> DataFrame:
+    """``(compute, key, n)``: keys that several series of one compute name have; shards must complement each other.
+
+    ``series(series_id, compute)``; a null name is shared by none.  ``keys(series_id, key)``.
+    """
+    named = series.where("compute IS NOT NULL").select("series_id", "compute")
+    return keys.join(named, "series_id").groupBy("compute", "key").agg(F.count_distinct("series_id").alias("n")).where("n > 1")
+
+
+def internal_index(bound: DataFrame, keys: DataFrame) -> DataFrame:
+    """``(address, series_id, ordinal, label)`` of the cells that internal series bind."""
+    inner = bound.where("direction = 'internal'")
+    named = labels(inner, keys.join(inner.select("series_id").distinct(), "series_id", "left_semi"))
+    found = inner.join(named, ["series_id", "row", "col"])
+    return found.select(address.rendered(F.col("sheet"), F.col("row"), F.col("col")).alias("address"), "series_id", "ordinal", "label")
+
+
 def labels(bound: DataFrame, keys: DataFrame) -> DataFrame:
     """``(series_id, row, col, label)``: the series' id with the cell's keys in brackets."""
     joined = keys.groupBy("series_id", "row", "col").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("dim_id", "key"))), lambda x: x["key"]), ",").alias("k"))

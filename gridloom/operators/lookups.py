@@ -65,8 +65,22 @@ def unambiguous(rows: DataFrame, keys: list[str], spec: str) -> DataFrame:
     return rows.withColumn(spec, F.when(n == 1, F.col(spec)))
 
 
-def changed(before: DataFrame, after: DataFrame, keys: list[str], field: str) -> DataFrame:
-    """Keys whose value is another than before; null is a value."""
+def series_of(written: DataFrame, bound: DataFrame) -> DataFrame:
+    """``(series_id, key, value)`` of values by address: the inverse of writing series to cells.
+
+    ``bound(address, series_id, key)``; an address of several series gives a row for each, one of
+    none gives none.
+    """
+    return written.join(bound.select("address", "series_id", "key"), "address").select("series_id", "key", "value")
+
+
+def changed(before: DataFrame, after: DataFrame, keys: list[str], field: str, within: DataFrame | None = None) -> DataFrame:
+    """Keys whose value is another than before; null is a value.
+
+    ``within``: only keys that it has, as the closure of what was written.
+    """
+    if within is not None:
+        after = bound(after, within, keys)
     old = before.select(*keys, F.col(field).alias("__old"))
     return after.join(old, keys).where(~F.col(field).eqNullSafe(F.col("__old"))).select(*keys, F.col("__old").alias("before"), F.col(field).alias("after"))
 

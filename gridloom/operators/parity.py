@@ -118,14 +118,25 @@ def exit_code(comparisons: DataFrame, errors: int = 0) -> int:
     return int(bad > 0)
 
 
-def report(comparisons: DataFrame, title: str, keys: list[str]) -> str:
-    """The text report: header, totals, per axis, first divergence, ranked failures with how many are left out."""
+def absent_inputs(writes: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``(address, n_scenarios)``: written addresses that are no nodes of the graph, and how many scenarios write them."""
+    known = nodes.select(F.col(nodes.columns[0]).alias("address"))
+    return writes.join(known, "address", "left_anti").groupBy("address").agg(F.count_distinct("scenario_id").alias("n_scenarios"))
+
+
+def report(comparisons: DataFrame, title: str, keys: list[str], absent: DataFrame | None = None) -> str:
+    """The text report: header, totals, per axis, absent inputs, first divergence, ranked failures with how many are left out.
+
+    ``absent`` has the rows of :func:`absent_inputs`, one for an input cell of the model.
+    """
     rows = rollup(comparisons).collect()  # a row for each axis and point
     total = next(r for r in rows if r["axis"] is None and r["point"] is None)
     n, passed = total["n"], total["n_passed"]
     lines = [title, f"passed: {passed}/{n} ({100 * passed / n:.2f}%)" if n else "passed: 0/0", f"matched errors: {total['n_matched_error']}", "PER-AXIS"]
     lines += [f"{r['axis']}: {r['n_passed']}/{r['n']}" for r in sorted(rows, key=lambda r: str(r["axis"])) if r["axis"] is not None and r["point"] is None]
     lines += ["PER-POINT"] + [f"{r['axis']} {r['point']}: {r['n_passed']}/{r['n']}" for r in sorted(rows, key=lambda r: (str(r["axis"]), str(r["point"]))) if r["point"] is not None]
+    if absent is not None:
+        lines += ["ABSENT INPUTS"] + ([f"{r['address']}: {r['n_scenarios']} scenarios" for r in absent.orderBy("address").collect()] or ["none"])
     first = first_divergence(comparisons, keys).collect()
     lines.append("first divergence: " + (" ".join(str(first[0][k]) for k in keys) if first else "none"))
     lines += [" ".join(str(r[k]) for k in keys) + f" abs_diff={r['abs_diff']}" for r in top_failures(comparisons, keys).collect()]

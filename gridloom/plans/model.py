@@ -120,6 +120,11 @@ def bootstrap(spark) -> dict[str, object]:
     }
 
 
+def by_year(given: Column) -> Column:
+    """A map by year, whose keys came as texts, by whole numbers; a key that is none is an error."""
+    return F.map_from_entries(F.transform(F.map_entries(given), lambda e: F.struct(e["key"].cast("int"), e["value"])))
+
+
 def normalised(requests: DataFrame, default: dict[str, str]) -> DataFrame:
     """``(id, inputs, unknown)`` of JSON requests: defaults filled in, ids that no default has listed."""
     given = F.coalesce(F.from_json("body", "map<string,string>"), F.create_map().cast("map<string,string>"))

@@ -436,3 +436,57 @@ def prefixed_functions(spark, sf_dir):
     """A prefix that ends in a dot is no part of a name; a letter, digit or underscore before one is."""
     text = F.concat(F.lit("=_xlfn.XLOOKUP(A"), F.col("p_partkey").cast("string"), F.lit(")+SUM(1)*x_Y(2)+9q(1)+A1.B(3)"))
     return _t(spark, sf_dir, "part").select(F.col("p_partkey").alias("partkey"), F.explode(address.function_names(text)).alias("f"))
+
+
+# --- inverses, closures and checks -------------------------------------------------------------
+
+
+@_query(f"SELECT series_id, ordinal, s_nationkey + col AS value FROM ({_BOUND_SQL}) WHERE col <> 5")
+def series_of_cells(spark, sf_dir):
+    """Values by address back to the series that bind the addresses; cells of one column have no value."""
+    bound = bindings.bound_cells(_binding(spark, sf_dir)[0])
+    place = address.rendered(F.col("sheet"), F.col("row"), F.col("col"))
+    s = _t(spark, sf_dir, "supplier").select((F.col("s_suppkey") + 5).cast("int").alias("row"), "s_nationkey", F.explode(F.array(*(F.lit(c) for c in (3, 4, 6, 7)))).alias("col"))
+    cells = s.select(address.rendered(F.lit("S"), F.col("row"), F.col("col")).alias("address"), (F.col("s_nationkey") + F.col("col")).alias("value"))
+    found = lookups.series_of(cells, bound.select(place.alias("address"), "series_id", F.col("ordinal").alias("key")))
+    return found.select("series_id", F.col("key").alias("ordinal"), "value")
+
+
+@_query(f"WITH RECURSIVE {_EDGES_SQL}, x AS (SELECT 'region:1' AS node UNION SELECT parent FROM x JOIN edges ON child = node) SELECT node, length(node) AS before, length(node) + 1 AS after FROM x WHERE node NOT LIKE '%3'")
+def changed_downstream(spark, sf_dir):
+    """Every node's value is another but those that end in 3; only what depends on one region counts."""
+    nodes, edges = _graph(spark, sf_dir)
+    before = nodes.select("node", F.length("node").alias("v"))
+    after = before.select("node", F.when(F.col("node").endswith("3"), F.col("v")).otherwise(F.col("v") + 1).alias("v"))
+    below = graph.closure(edges, nodes.where("node = 'region:1'").select("node"))
+    return lookups.changed(before, after, ["node"], "v", below)
+
+
+@_query("SELECT 'In!A' || p_size AS address, count(DISTINCT p_brand) AS n_scenarios FROM part WHERE p_size NOT IN (SELECT s_nationkey FROM supplier) GROUP BY p_size")
+def absent_inputs(spark, sf_dir):
+    cell = lambda c: F.concat(F.lit("In!A"), F.col(c).cast("string")).alias("address")
+    return parity.absent_inputs(_t(spark, sf_dir, "part").select(F.col("p_brand").alias("scenario_id"), cell("p_size")), _t(spark, sf_dir, "supplier").select(cell("s_nationkey")))
+
+
+@_query("SELECT o_custkey AS custkey, o_orderkey::INT AS year, o_totalprice AS value FROM orders")
+def inputs_by_year(spark, sf_dir):
+    """Maps by text keys, as of JSON, to maps by whole numbers."""
+    given = F.map_from_entries(F.collect_list(F.struct(F.col("o_orderkey").cast("string"), "o_totalprice")))
+    maps = _t(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("custkey")).agg(given.alias("m"))
+    return maps.select("custkey", F.explode(model.by_year(F.col("m"))).alias("year", "value"))
+
+
+@_query("SELECT 'f' || p_size AS compute, p_type AS key, count(DISTINCT p_brand) AS n FROM part WHERE p_size % 5 <> 0 GROUP BY ALL HAVING count(DISTINCT p_brand) > 1")
+def compute_clashes(spark, sf_dir):
+    """Series of one compute name; a fifth has no name."""
+    p = _t(spark, sf_dir, "part").withColumn("series_id", F.concat_ws("/", F.col("p_size").cast("string"), "p_brand"))
+    names = p.select("series_id", F.when(F.col("p_size") % 5 != 0, F.concat(F.lit("f"), F.col("p_size").cast("string"))).alias("compute")).distinct()
+    return bindings.compute_clashes(names, p.select("series_id", F.col("p_type").alias("key")))
+
+
+@_query(f"""SELECT 'S!' || chr((64 + b.col)::INT) || b.row AS address, b.series_id, b.ordinal, b.series_id || '[' || string_agg(k.key, ',' ORDER BY k.dim_id) || ']' AS label
+FROM ({_BOUND_SQL}) b JOIN ({_KEYS_SQL}) k ON k.series_id = b.series_id AND k.row = b.row AND k.col = b.col WHERE b.s_suppkey % 3 = 2 GROUP BY b.series_id, b.row, b.col, b.ordinal""")
+def internal_index(spark, sf_dir):
+    sets, dims, cells = _binding(spark, sf_dir)
+    bound = bindings.bound_cells(sets)
+    return bindings.internal_index(bound, bindings.resolve_keys(bound, dims, cells).where("key IS NOT NULL"))

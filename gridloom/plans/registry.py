@@ -81,6 +81,15 @@ def recurrence_steps(spark, sf_dir):
     return steps.select(F.col("o_custkey").alias("custkey"), (F.col("k") + 1).cast("long").alias("n"), "debt")
 
 
+@_query(_STEPS_SQL + "SELECT k AS custkey, n, round(d, 7) AS debt FROM w")
+def recurrence_blocks(spark, sf_dir):
+    """The steps by blocks of four periods, composed first."""
+    fields = ((F.col("o_orderkey") % 9).alias("r"), (F.col("o_orderkey") % 7).alias("g"), (F.col("o_totalprice") / F.lit(100000.0)).alias("p"))
+    orders = _t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("custkey"), "o_orderdate", "o_orderkey", "o_totalprice", *fields)
+    found = recurrence.blocked_path(orders, "custkey", ["o_orderdate", "o_orderkey", "o_totalprice"], "r", "g", "p", F.lit(100.0), block=4)
+    return found.select("custkey", "n", F.round("state", 7).alias("debt"))
+
+
 def _shifted(s):
     return F.transform(s, lambda x, k: F.struct((x["r"] + F.when(k >= 2, 1.0).otherwise(0.0)).alias("r"), x["g"].alias("g"), x["p"].alias("p")))
 
@@ -516,16 +525,19 @@ def sample_top(spark, sf_dir):
     return audit.sample(rows, "custkey", 40, rows.where("custkey % 97 = 0"))
 
 
-@_query("SELECT c_nationkey AS sheet, count(*) AS n, greatest(count(*) - 12, 0) AS more FROM customer WHERE c_acctbal < 0 GROUP BY c_nationkey")
+@_query("SELECT c_nationkey AS sheet, count(*) AS n, greatest(count(*) - 12, 0) AS more FROM customer GROUP BY c_nationkey")
 def unbound_by_sheet(spark, sf_dir):
-    cells = _t(spark, sf_dir, "customer").where("c_acctbal < 0").select(F.col("c_nationkey").alias("sheet"), F.col("c_custkey").cast("int").alias("row"), F.lit(1).alias("col"))
+    cells = _t(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("sheet"), F.col("c_custkey").cast("int").alias("row"), F.lit(1).alias("col"))
     return bindings.unbound_by_sheet(cells).select("sheet", "n", "more")
 
 
-@_query("SELECT l_suppkey AS parent, count(*) AS n_deps, count(DISTINCT CASE WHEN l_returnflag <> 'N' THEN l_returnflag END) AS n_sheets FROM lineitem GROUP BY l_suppkey HAVING count(*) <= 610")
+@_query("SELECT l_suppkey || l_linestatus AS parent, count(*) AS n_deps, count(*) FILTER (l_linenumber IN (1, 2) OR l_quantity > 45) AS n_special, count(DISTINCT CASE WHEN l_returnflag <> 'N' THEN l_returnflag END) AS n_sheets FROM lineitem GROUP BY ALL HAVING count(*) <= 300")
 def difficulty(spark, sf_dir):
-    edges = _t(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("parent"), F.lit("N").alias("parent_sheet"), F.col("l_returnflag").alias("child_sheet"), F.array().cast("array<string>").alias("causes"), F.lit(None).cast("string").alias("guard"))
-    return audit.difficulty(edges, 610).select("parent", "n_deps", "n_sheets")
+    """A parent for each supplier and line status; some depend on more than the operator's 300."""
+    causes = F.when(F.col("l_linenumber") == 1, F.array(F.lit("dynamic_offset"))).when(F.col("l_linenumber") == 2, F.array(F.lit("dynamic_indirect"), F.lit("direct"))).otherwise(F.array(F.lit("direct")))
+    guard = F.when(F.col("l_quantity") > 45, "x > 0")
+    parent = F.concat(F.col("l_suppkey").cast("string"), "l_linestatus")
+    return audit.difficulty(_t(spark, sf_dir, "lineitem").select(parent.alias("parent"), F.lit("N").alias("parent_sheet"), F.col("l_returnflag").alias("child_sheet"), causes.alias("causes"), guard.alias("guard")))
 
 
 @_query("SELECT p_partkey AS partkey, CASE p_partkey % 4 WHEN 0 THEN p_size || ' ≤ x ≤ ' || (p_size + 5) WHEN 1 THEN 'x ≤ ' || (p_size + 5) WHEN 2 THEN p_size || ' ≤ x' ELSE 'any' END AS domain, CASE WHEN p_partkey % 2 = 0 THEN p_brand ELSE p_type END AS unit FROM part")

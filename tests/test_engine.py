@@ -146,6 +146,40 @@ def test_blocked_path_equals_fold(spark):
     assert all(got[(r["k"], n + 1)] == pytest.approx(x, rel=1e-9) for r in fold for n, x in enumerate(r["a"])) and len(got) == 500
 
 
+def test_long_paths_come_in_pieces(spark):
+    """Series around the length of a piece, with a null that lasts, an empty and a null one."""
+    lengths = [0, 1, 63, 64, 65, 128, 300]
+    lists = [(n, [(float(k % 7), -100.0 if k == 290 else float(k % 5), 0.25) for k in range(n)]) for n in lengths] + [(-1, None)]
+    rows = spark.createDataFrame(lists, f"n int, s array<{recurrence.STEP}>")
+    for r in rows.select("n", "s", recurrence.path(F.lit(50.0), F.col("s")).alias("a")).collect():
+        want, now = [], 50.0
+        for r_, g, p in r["s"] or []:
+            now = None if now is None or g == -100 else now * (1 + r_ / 100) / (1 + g / 100) - p
+            want.append(now)
+        assert r["a"] == (None if r["s"] is None else want)
+
+
+def test_blocked_path_of_one_key_in_many_partitions(spark):
+    rows = spark.range(3000).select(F.lit(None).cast("string").alias("k"), "id", (F.col("id") % 7).alias("r"), (F.col("id") % 5).alias("g"), F.lit(0.01).alias("p")).repartition(7)
+    rows = rows.withColumn("k", F.when(F.col("id") % 10 == 0, "few"))
+    got = {(r["k"], r["n"]): r["state"] for r in recurrence.blocked_path(rows, "k", ["id"], "r", "g", "p", F.lit(50.0), block=8).collect()}
+    assert len(got) == 3000
+    for key, ids in (("few", range(0, 3000, 10)), (None, [i for i in range(3000) if i % 10])):
+        now = 50.0
+        for n, i in enumerate(ids, 1):
+            now = now * (1 + i % 7 / 100) / (1 + i % 5 / 100) - 0.01
+            assert got[key, n] == pytest.approx(now, rel=1e-9)
+    assert recurrence.blocked_path(rows.limit(0), "k", ["id"], "r", "g", "p", F.lit(50.0)).count() == 0
+
+
+def test_absent_inputs_in_the_report(spark):
+    writes = spark.createDataFrame([("a", "S!A1"), ("b", "S!A1"), ("a", "S!A2"), ("a", None)], "scenario_id string, address string")
+    absent = parity.absent_inputs(writes.where("address IS NOT NULL"), spark.createDataFrame([("S!A2",)], "node string"))
+    rows = spark.createDataFrame([("a", "x", 1, True, False, 0.0)], "axis string, point string, k long, passed boolean, matched_error boolean, abs_diff double")
+    assert "ABSENT INPUTS\nS!A1: 2 scenarios\n" in parity.report(rows, "t", ["k"], absent)
+    assert "ABSENT INPUTS\nnone\n" in parity.report(rows, "t", ["k"], absent.limit(0))
+
+
 def test_domains_and_bindings(spark):
     w = lambda kind, lo, hi, vals, num, text: bindings.within(F.lit(kind), F.lit(lo).cast("double"), F.lit(hi).cast("double"), vals, F.lit(num).cast("double"), F.lit(text).cast("string"))
     none = F.lit(None).cast("array<string>")
