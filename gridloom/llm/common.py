@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,6 +53,26 @@ def forget(*tables: DataFrame) -> None:
         path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Bytes of a column in one of :func:`slices`, about.
+SLICE = 4 << 20
+
+
+def slices(batch, column: int) -> Iterator:
+    """An Arrow batch in runs of rows; the texts of ``column`` in a run have ``SLICE`` bytes besides the first's.
+
+    What Python makes of a run is freed before the next, so a worker's memory does not follow the
+    size of its batches.
+    """
+    import numpy as np
+    import pyarrow.compute as pc
+
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    cuts = [0, *(np.flatnonzero(np.diff(ends // SLICE)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
 def unused(df: DataFrame, name: str) -> str:
     """A column name like ``name`` that ``df`` has not, whatever the letters' case."""
     taken = {c.lower() for c in df.columns}

@@ -17,6 +17,8 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import slices
+
 BUCKETS, ORDERS = 1 << 15, (1, 2, 3)
 #: Labelled rows of each language that the model is fitted on, about; all, where there are fewer.
 TRAIN_ROWS = 4000
@@ -33,7 +35,13 @@ _GAP = re.compile(r"[\W\d_]+")
 
 def letters(text: str | None) -> str:
     """The text's words in lower case between single spaces; empty without a letter."""
-    kept = _GAP.sub(" ", text or "").lower()
+    text, some = text or "", [""]
+    for at in range(0, len(text), CHUNK):  # a part at a time, as the words of a very long text take many times its room
+        part = _GAP.sub(" ", text[at : at + CHUNK])
+        if some[-1].endswith(" "):
+            part = part.removeprefix(" ")
+        some += [part] if part else []
+    kept = "".join(some).lower()
     return f" {kept.strip()} " if any(c.isalpha() for c in kept) else ""
 
 
@@ -159,7 +167,7 @@ def _scores(model):
         import pyarrow as pa
 
         langs, weights = model.value
-        for batch in batches:
+        for batch in (part for batch in batches for part in slices(batch, 1)):
             found, sure = scores(batch.column(1).to_pylist(), langs, weights)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string()), pa.array(sure, pa.float64())], ["id", "lang_pred", "score"])
 
@@ -209,7 +217,7 @@ def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def run(batches: Iterator) -> Iterator:
         langs, weights = sent.value
-        for batch in batches:
+        for batch in (part for batch in batches for part in slices(batch, at)):
             found, sure = scores(batch.column(at).to_pylist(), langs, weights)
             yield batch.filter(pa.array([lang != UNKNOWN and s >= least for lang, s in zip(found, sure, strict=True)], pa.bool_()))
 
