@@ -109,14 +109,14 @@ def patterns(histogram: dict[int, int], capacity: int, columns: int = COLUMNS) -
     return chosen
 
 
-def _cut(tokenizer: str, end_id: int, length: int, quantum: int):
+def _cut(tokenizer: str, end_id: int, length: int, quantum: int, room: int | None):
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         from pyspark import TaskContext
 
         from .wordcodec import encoder, id_bytes
 
-        encode, end, part, seen = encoder(tokenizer), id_bytes([end_id]), TaskContext.get().partitionId(), {}
+        encode, end, part, seen = encoder(tokenizer, room), id_bytes([end_id]), TaskContext.get().partitionId(), {}
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int64())
         flush = lambda rows: pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], [x.split()[0] for x in PIECES.split(", ")])
         for batch in batches:
@@ -140,10 +140,10 @@ def _cut(tokenizer: str, end_id: int, length: int, quantum: int):
     return run
 
 
-def cut(docs: DataFrame, tokenizer: str, end_id: int = 1, length: int = LENGTH, quantum: int = QUANTUM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The pieces of all documents with their ids, as a written table."""
+def cut(docs: DataFrame, tokenizer: str, end_id: int = 1, length: int = LENGTH, quantum: int = QUANTUM, id_col: str = "doc_id", text_col: str = "text", room: int | None = None) -> DataFrame:
+    """The pieces of all documents with their ids, as a written table; ``room`` bytes of met words in each worker."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t"))
-    return written(rows.mapInArrow(_cut(tokenizer, end_id, length, quantum), PIECES), "pieces", "zstd")
+    return written(rows.mapInArrow(_cut(tokenizer, end_id, length, quantum, room), PIECES), "pieces", "zstd")
 
 
 def _place(slots):
@@ -192,13 +192,13 @@ def place(pieces: DataFrame, length: int = LENGTH, quantum: int = QUANTUM) -> Da
     return placed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", F.coalesce(F.sum("length").over(inside), F.lit(0)).alias("offset"))
 
 
-def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, length: int = LENGTH, quantum: int = QUANTUM) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, length: int = LENGTH, quantum: int = QUANTUM, room: int | None = None) -> DataFrame:
     """``(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset)`` of every piece.
 
     A null or empty text is the end id alone.  Rows that repeat an id, and rows without one, are
     documents of their own.  Other columns are ignored.  No rows: an empty result.
     """
-    return place(cut(docs, tokenizer, end_id, length, quantum), length, quantum)
+    return place(cut(docs, tokenizer, end_id, length, quantum, room=room), length, quantum)
 
 
 def sequences(pieces: DataFrame, placed: DataFrame) -> DataFrame:

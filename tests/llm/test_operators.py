@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from gridloom.llm import ann, components, embdedup, langid, licenses, mixing, packing, simhash, tokenbin, tokencount, urlfilter, wordcodec
+from gridloom.llm import ann, common, components, embdedup, langid, licenses, mixing, packing, simhash, tokenbin, tokencount, urlfilter, wordcodec
 
 DOCS = "doc_id long, text string, lang string, component_id string, rate int, id long"
 WORDS = "stone river light house garden window summer winter letter number market bridge forest island castle silver".split()
@@ -150,6 +150,37 @@ def test_token_shards(spark):
     assert tokenbin.round_trip(docs(spark, []), path).count() == 0
 
 
+def test_letters_of_texts_in_parts(monkeypatch):
+    r = random.Random(3)
+    some = ["".join(r.choice("aÉß  .1\nΣb") for _ in range(r.randrange(40))) for _ in range(3000)]
+    whole = [langid.letters(t) for t in some]
+    monkeypatch.setattr(langid, "CHUNK", 7)
+    assert [langid.letters(t) for t in some] == whole
+
+
+def test_slices_hold_every_row_in_order(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(common, "SLICE", 10)
+    for texts in ([], [None], ["", None, ""], ["a" * 50, "b", None, "c" * 9, "dd", "e" * 25, ""]):
+        batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], ["id", "t"])
+        parts = list(common.slices(batch, 1))
+        assert [t for p in parts for t in p.column(1).to_pylist()] == texts
+        assert all(p.num_rows and sum(len(t or "") for t in p.column(1).to_pylist()[1:]) <= 10 for p in parts)
+
+
+def test_store_of_words_stays_in_its_room():
+    made = []
+    store = wordcodec._Store(lambda part: made.append(part) or part.encode(), 20_000)
+    r = random.Random(8)
+    for k in range(20_000):
+        part = "the" if k % 3 == 0 else str(r.randrange(5000))
+        assert store[part] == part.encode()
+        assert (len(store) + len(store.before)) * wordcodec.ENTRY <= 20_000
+    assert made.count("the") == 1
+    assert store["x" * 20_000] == b"x" * 20_000 and "x" * 20_000 not in store
+
+
 def test_language_id(spark):
     alphabet = {"aa": "abcde", "bb": "fghij", "cc": "klmno"}
     rows = [(k, " ".join("".join(rng.choice(alphabet[lang]) for _ in range(5)) for _ in range(20)), lang) for k in range(300) for lang in [("aa", "bb", "cc")[k % 3]]]
