@@ -14,6 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from gridloom.llm import langid, mixing, packing, simhash
 from gridloom.llm.common import table, written
 
+#: Bytes of met words that a worker keeps in packing: less than a query of its own would, as
+#: workers here have served the stages before.
+ROOM = 64 << 20
+
 #: The first stage is a trained classifier, which SQL cannot express; the tests hold every stage
 #: against a plain version.
 ORACLE_SQL = None
@@ -36,7 +40,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of 2048 ids; a repeated document has pieces for each time."""
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1, room=ROOM)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
