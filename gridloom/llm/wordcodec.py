@@ -7,8 +7,8 @@ pairs of normalizer and pre-tokenizer, and texts of the characters in ``PLAIN``,
 Unicode version has changed, that hold none of the tokenizer's added tokens.  Every other text,
 and every text for any other vocabulary file, goes to the library whole.
 
-The store of parts is bounded by bytes: once it is full, parts not met for long are dropped and
-encoded anew when they are met again.  It lives as long as the Python worker, which takes task after task.
+The store of parts is bounded by bytes: once it is full, new parts are encoded each time they are
+met.  It lives as long as the Python worker, which takes task after task.
 """
 
 from __future__ import annotations
@@ -48,29 +48,17 @@ KNOWN = {
 
 
 class _Store(dict):
-    """Values by key, of the keys met last.
-
-    Half of the room is for the present generation.  Once that is full it becomes the one before,
-    whose values are taken over when their keys are met again and otherwise go.  So keys that many
-    texts share stay, and those that were met once do not hold room for good.
-    """
+    """Values by key, each made once while there is room."""
 
     def __init__(self, make: Callable, room: int | None = None) -> None:
-        self.make, self.half, self.before = make, (STORE if room is None else room) // 2, {}
-        self.room = self.half
+        self.make, self.room = make, STORE if room is None else room
 
     def __missing__(self, part):
-        value = self.before.get(part)
-        if value is None:
-            value = self.make(part)
+        value = self.make(part)
         cost = ENTRY + 2 * len(part) + (len(value) if isinstance(value, bytes) else 0)
-        if cost > self.half:
-            return value
-        if cost > self.room:
-            self.before, self.room = dict(self), self.half
-            self.clear()
-        self.room -= cost
-        self[part] = value
+        if cost <= self.room:
+            self.room -= cost
+            self[part] = value
         return value
 
 
