@@ -53,6 +53,16 @@ def forget(*tables: DataFrame) -> None:
         path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def sorted_join(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that Spark must sort, never broadcast.
+
+    Spark broadcasts by an estimate of bytes: that of a table is its compressed files', and rows that
+    are generated from a row count as that one.  For tables that grow with the input that
+    estimate can be far too small, and the driver would have to hold the whole side.
+    """
+    return df.hint("merge")
+
+
 #: Bytes of a column in one of :func:`slices`, about.
 SLICE = 4 << 20
 

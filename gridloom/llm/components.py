@@ -4,7 +4,7 @@ The links stay distributed.  Each round first hooks every larger neighbour of a
 smallest node it sees, then every smaller one; the rounds needed grow with the logarithm of the
 longest path.  A hub has one row per link and its minimum is pre-aggregated before the shuffle.
 The minima are a table of their own: an aggregate in the stage of the join that follows would
-keep adaptive execution from splitting a hub.  Every round is a written table, so no round
+keep adaptive execution from splitting a hub, and no join broadcasts them.  Every round is a written table, so no round
 depends on executors of an earlier one.
 """
 
@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import forget, written
+from .common import forget, sorted_join, written
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -24,14 +24,14 @@ def _state(edges: DataFrame) -> tuple:
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = written(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
-    hooked = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    hooked = both.join(sorted_join(least), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
     return _then(hooked, least)
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = written(down.groupBy("a").agg(F.min("b").alias("m")), "least")
-    hooked = down.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    hooked = down.join(sorted_join(least), "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return _then(hooked.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), least)
 
 

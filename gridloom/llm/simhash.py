@@ -21,7 +21,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import forget, unused, written
+from .common import forget, sorted_join, unused, written
 from .components import components
 
 SEED, WORDS, THRESHOLD = 42, 3, 3
@@ -142,18 +142,19 @@ def links(nodes: DataFrame, block: int = BLOCK) -> DataFrame:
 
     ``nodes`` is a table that is cheap to read.  Its rows are spread over tasks by their number before they are replicated, and
     replicas are written once, only those that meet another fingerprint at home with their anchor.
+    No side of a join is broadcast: Spark takes 34 replicas for one row when it estimates their size.
     """
     spread = nodes.select("fp").repartition(max(1, -(-nodes.count() // SPREAD)), "fp")
     half = [F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned("fp", 32)]
     owners = nodes.select("fp", F.explode(F.array(*(_home(h, k) for k, h in enumerate(half)))).alias("cell"))
     homes = written(owners.groupBy("cell").agg(F.count("*").alias("n_home"), F.min("fp").alias("only")), "simhash-homes")
     lonely = (F.col("n_home") == 1) & (F.col("only") == F.col("fp"))
-    meet = written(_places(spread).join(homes, "cell").where(~lonely).select("cell", "fp", F.ceil(F.col("n_home") / block).alias("hs")), "simhash-visits")
+    meet = written(_places(spread).join(sorted_join(homes), "cell").where(~lonely).select("cell", "fp", F.ceil(F.col("n_home") / block).alias("hs")), "simhash-visits")
     size = written(meet.groupBy("cell").agg(F.max("hs").alias("hs"), F.ceil(F.count("*") / block).alias("vs")), "simhash-cells")
     salt = F.xxhash64("fp")
     upto = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
-    dealt = meet.join(size.select("cell", "vs"), "cell").select("cell", "fp", F.lit(False).alias("home"), upto("hs").alias("hb"), F.pmod(salt, "vs").alias("vb"))
-    asked = owners.join(size, "cell").select("cell", "fp", F.lit(True).alias("home"), F.pmod(salt, "hs").alias("hb"), upto("vs").alias("vb"))
+    dealt = meet.join(sorted_join(size.select("cell", "vs")), "cell").select("cell", "fp", F.lit(False).alias("home"), upto("hs").alias("hb"), F.pmod(salt, "vs").alias("vb"))
+    asked = owners.join(sorted_join(size), "cell").select("cell", "fp", F.lit(True).alias("home"), F.pmod(salt, "hs").alias("hb"), upto("vs").alias("vb"))
     pairs = asked.unionByName(dealt).groupBy("cell", "hb", "vb").agg(F.collect_list(F.when(F.col("home"), F.col("fp"))).alias("h"), F.collect_list(F.when(~F.col("home"), F.col("fp"))).alias("v"))
     found = written(pairs.where("size(h) > 0 AND size(v) > 0").select("h", "v").mapInArrow(_forest, "a long, b long"), "simhash-links")
     forget(homes, meet, size)
@@ -165,10 +166,10 @@ def _grouped(prints: DataFrame, block: int) -> DataFrame:
     nodes = written(prints.groupBy("fp").agg(F.min("id").alias("id")), "simhash-nodes")
     linked = links(nodes, block)
     roots = components(linked)
-    of = written(nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "id"), "simhash-roots")
+    of = written(nodes.join(sorted_join(roots), nodes["fp"] == roots["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "id"), "simhash-roots")
     # A table of its own: a join with the aggregate of its own rows could not be split where one component holds most of them.
     least = written(of.groupBy("root").agg(F.min("id").alias("component_id")), "simhash-least")
-    found = written(of.join(least, "root").select("fp", "root", "component_id"), "simhash-components")
+    found = written(of.join(sorted_join(least), "root").select("fp", "root", "component_id"), "simhash-components")
     forget(nodes, linked, of, least)
     return found
 
@@ -200,7 +201,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bl
     documents fingerprinted again and ranked.
     """
     prints = written(fingerprints(docs, id_col, text_col), "fingerprints")
-    of = prints.where("id IS NOT NULL").join(_grouped(prints, block), "fp").where("id = component_id")
+    of = prints.where("id IS NOT NULL").join(sorted_join(_grouped(prints, block)), "fp").where("id = component_id")
     best = written(of.groupBy("root", "id").agg(F.min("fp").alias("fp")), "simhash-best")
     often = prints.groupBy("id").agg(F.count("*").alias("rows")).where("rows > 1")
     chosen = best.join(often, "id", "left_anti").select("id")

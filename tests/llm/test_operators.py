@@ -98,6 +98,21 @@ def test_keep_one_of_repeated_ids_and_clashing_names(spark):
     assert kept == Counter([(1, rows[0][1]), (1, rows[1][1]), (2, BASE), (None, BASE), (4, rows[6][1])])
 
 
+def plans_of(monkeypatch, module):
+    """Plans of all tables that ``module`` writes from now on."""
+    plans = []
+    monkeypatch.setattr(module, "written", lambda df, name: (plans.append(df._jdf.queryExecution().executedPlan().toString()), common.written(df, name))[1])
+    return plans
+
+
+def test_links_broadcast_no_replicas(spark, monkeypatch):
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "10485760b"
+    plans, rounds = plans_of(monkeypatch, simhash), plans_of(monkeypatch, components)
+    simhash._grouped(spark.createDataFrame([(k, k) for k in range(40)], "id long, fp long"), simhash.BLOCK)
+    assert sum("SortMergeJoin" in p for p in plans) >= 4 and sum("SortMergeJoin" in p for p in rounds) >= 2
+    assert not any("BroadcastHashJoin" in p for p in plans + rounds)
+
+
 def test_components_of_a_hub(spark):
     rows = [(0, k) for k in range(1, 3000)] + [(5000 + k, 5001 + k) for k in range(40)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(rows, "a long, b long")).collect()}
