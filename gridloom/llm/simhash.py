@@ -184,7 +184,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     names.  No rows: an empty result.
     """
     prints = written(fingerprints(docs, id_col, text_col), "fingerprints")
-    return prints.join(_grouped(prints, block), "fp").select(
+    return prints.join(sorted_join(_grouped(prints, block)), "fp").select(
         F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
 

@@ -113,6 +113,11 @@ def test_links_broadcast_no_replicas(spark, monkeypatch):
     assert not any("BroadcastHashJoin" in p for p in plans + rounds)
 
 
+def test_fingerprints_of_documents_are_joined_without_broadcast(spark):
+    plan = simhash.near_duplicates(docs(spark, ROWS))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_components_of_a_hub(spark):
     rows = [(0, k) for k in range(1, 3000)] + [(5000 + k, 5001 + k) for k in range(40)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(rows, "a long, b long")).collect()}
