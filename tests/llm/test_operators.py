@@ -346,6 +346,21 @@ def test_embedding_dedup_is_exact(spark, cell, block):
     assert embdedup.near_duplicates(vectors(spark, [])).count() == 0
 
 
+def test_embedding_dedup_writes_each_vector_once(spark, monkeypatch):
+    r = np.random.default_rng(8)
+    rows = [(k, list(map(float, r.normal(size=64)))) for k in range(1500)]  # evenly spread: nearly every block meets every other
+    counts = {}
+
+    def counted(df, name):
+        found = common.written(df, name)
+        counts[name] = found.count()
+        return found
+
+    monkeypatch.setattr(embdedup, "written", counted)
+    got = embdedup.near_duplicates(vectors(spark, rows + [(5000 + k, rows[k][1]) for k in range(300)]), cell=100, block=100).collect()
+    assert sum(r.n_links for r in got) == 600 and max(counts.values()) <= 1800, counts
+
+
 def test_neighbours(spark):
     r = np.random.default_rng(4)
     rows = [(k, list(map(float, r.normal(size=16) * r.uniform(0.5, 2)))) for k in range(900)]
